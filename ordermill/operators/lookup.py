@@ -1,0 +1,54 @@
+"""Left joins of a large frame with a lookup table that has one row per key.
+
+A lookup table of checked size is broadcast.  Beyond that size both sides are shuffled, and a
+key that holds many rows of the large frame is spread over several tasks by a salt.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 8 << 20
+SALTS = 64
+
+
+def fits_broadcast(lookup: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a staged lookup table is small, by its row count and the bytes of its keys."""
+    rows, size = lookup.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))).first()
+    return rows <= max_rows and size <= BROADCAST_BYTES
+
+
+def lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread: Column,
+    hot: DataFrame | None = None,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Left join ``df`` with ``lookup`` (staged, unique on ``key``).
+
+    ``spread`` is a hash that differs between the rows of one key.  ``hot`` lists the keys to
+    salt when the lookup table is not broadcast; it must be bounded in size.  Without it every
+    key is salted.
+    """
+    if fits_broadcast(lookup, key, max_rows):
+        return df.join(F.broadcast(lookup), key, "left")
+
+    salt = F.pmod(spread, F.lit(SALTS))
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    if hot is not None:
+        marks = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+        df, lookup = df.join(marks, key, "left"), lookup.join(marks, key, "left")
+        salt = F.when(F.col("_hot"), salt).otherwise(0)
+        salts = F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0)))
+    # a null key matches nothing, so its rows may go anywhere
+    salt = F.when(F.col(key).isNull(), spread).otherwise(salt)
+    salted = lookup.withColumn("_salt", F.explode(salts).cast("long"))
+    return (
+        df.withColumn("_salt", salt.cast("long"))
+        .join(salted.drop("_hot"), [key, "_salt"], "left")
+        .drop("_salt", "_hot")
+    )
