@@ -25,7 +25,13 @@ def parse_date_clamped(text: Column) -> Column:
 
 
 def month_of(date: Column) -> Column:
-    return F.date_format(date, "yyyy-MM")
+    """First day of the month: a cheaper grouping key than its text, see `month_text`."""
+    return F.trunc(date, "month")
+
+
+def month_text(month: Column) -> Column:
+    """``yyyy-MM``, for results."""
+    return F.date_format(month, "yyyy-MM")
 
 
 def number_or_zero(text: Column, kind: str) -> Column:

@@ -1,6 +1,6 @@
 """Left joins of a large frame with a lookup table that has one row per key.
 
-A lookup table of checked size is broadcast.  Beyond that size both sides are shuffled, and a
+A lookup table of checked size is broadcast.  A larger one is joined by a shuffle, in which a
 key that holds many rows of the large frame is spread over several tasks by a salt.
 """
 
@@ -20,23 +20,19 @@ def fits_broadcast(lookup: DataFrame, key: str, max_rows: int = BROADCAST_ROWS)
     return rows <= max_rows and size <= BROADCAST_BYTES
 
 
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread: Column,
-    hot: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
+def broadcast_lookup(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """For a lookup table that `fits_broadcast`."""
+    return df.join(F.broadcast(lookup), key, "left")
+
+
+def salted_lookup(
+    df: DataFrame, lookup: DataFrame, key: str, spread: Column, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Left join ``df`` with ``lookup`` (staged, unique on ``key``).
+    """For a lookup table of any size.
 
-    ``spread`` is a hash that differs between the rows of one key.  ``hot`` lists the keys to
-    salt when the lookup table is not broadcast; it must be bounded in size.  Without it every
-    key is salted.
+    ``spread`` is a hash that differs between the rows of one key.  ``hot`` lists the keys worth
+    a salt and must be bounded in size, as it is broadcast; without it every key is salted.
     """
-    if fits_broadcast(lookup, key, max_rows):
-        return df.join(F.broadcast(lookup), key, "left")
-
     salt = F.pmod(spread, F.lit(SALTS))
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     if hot is not None:
@@ -46,9 +42,5 @@ def lookup_join(
         salts = F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0)))
     # a null key matches nothing, so its rows may go anywhere
     salt = F.when(F.col(key).isNull(), spread).otherwise(salt)
-    salted = lookup.withColumn("_salt", F.explode(salts).cast("long"))
-    return (
-        df.withColumn("_salt", salt.cast("long"))
-        .join(salted.drop("_hot"), [key, "_salt"], "left")
-        .drop("_salt", "_hot")
-    )
+    copies = lookup.withColumn("_salt", F.explode(salts).cast("long")).drop("_hot")
+    return df.withColumn("_salt", salt.cast("long")).join(copies, [key, "_salt"], "left").drop("_salt", "_hot")

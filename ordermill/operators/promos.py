@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.text import present, promo_tokens
 from ordermill.functions.values import percentage
-from ordermill.operators.lookup import BROADCAST_ROWS, lookup_join
+from ordermill.operators.lookup import BROADCAST_ROWS, broadcast_lookup, fits_broadcast, salted_lookup
 
 MIN_ACTIVE_DAYS = 2
 MIN_VALID_CODES = 3
 
-# A code is hot when it holds at least this share of all tokens; at most 1000 codes can be.
+# A code is hot when it holds one in this many uses or more, so there are at most as many.
 HOT_SHARE = 1000
 
 
@@ -52,6 +52,12 @@ def cancelled_candidates(orders: DataFrame) -> DataFrame:
     ).select("row_id", "city", "state", "amount", "promotion_ids")
 
 
+def hot_promos(lifespans: DataFrame) -> DataFrame:
+    """The codes that hold a large share of all uses."""
+    uses = lifespans.agg(F.sum("n_tokens")).first()[0] or 0
+    return lifespans.filter(F.col("n_tokens") * HOT_SHARE >= max(uses, HOT_SHARE)).select("promo")
+
+
 def _spread() -> Column:
     return F.xxhash64("row_id", "city", "amount")
 
@@ -72,10 +78,11 @@ def with_valid_count(
     tokens = candidates.select(
         "row_id", "city", "state", "amount", F.posexplode_outer(codes).alias("pos", "promo")
     )
-    total = lifespans.agg(F.sum("n_tokens")).first()[0] or 0
-    hot = lifespans.filter(F.col("n_tokens") * HOT_SHARE >= max(total, HOT_SHARE)).select("promo")
     valid = valid_promos(lifespans, min_days).select("promo", F.lit(True).alias("is_valid"))
-    matched = lookup_join(tokens, valid, "promo", _spread(), hot, max_broadcast_rows)
+    if fits_broadcast(valid, "promo", max_broadcast_rows):
+        matched = broadcast_lookup(tokens, valid, "promo")
+    else:
+        matched = salted_lookup(tokens, valid, "promo", _spread(), hot_promos(lifespans))
     counted = matched.groupBy("row_id", "city", "state", "amount").agg(
         F.count("is_valid").alias("n_valid"),
         # rows equal in all four columns (possible without row_id) stay as many as they were
@@ -95,7 +102,10 @@ def with_qualified(
     ``thresholds`` is a staged `state_threshold`.  A missing amount or average does not qualify.
     """
     meets = (F.col("n_valid") >= min_valid) & (F.col("amount") < F.col("state_avg"))
-    joined = lookup_join(counted, thresholds, "state", _spread(), max_rows=max_broadcast_rows)
+    if fits_broadcast(thresholds, "state", max_broadcast_rows):
+        joined = broadcast_lookup(counted, thresholds, "state")
+    else:
+        joined = salted_lookup(counted, thresholds, "state", _spread())
     return joined.withColumn("qualified", F.when(meets, 1).otherwise(0))
 
 

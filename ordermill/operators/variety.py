@@ -16,7 +16,13 @@ def sku_max_rank(orders: DataFrame) -> DataFrame:
     complete = present(F.col("state")) & present(F.col("style")) & present(F.col("sku"))
     return (
         orders.filter(complete & F.col("order_date").isNotNull())
-        .select(month_of(F.col("order_date")).alias("month"), "state", "style", "sku", size_rank(F.col("size")).alias("rank"))
+        .select(
+            month_of(F.col("order_date")).alias("month"),
+            "state",
+            "style",
+            "sku",
+            size_rank(F.col("size")).alias("rank"),
+        )
         .filter("rank > 0")
         .groupBy("month", "state", "style", "sku")
         .agg(F.max("rank").alias("max_rank"))
@@ -35,11 +41,7 @@ def style_variety(skus: DataFrame, min_rank: int = MIN_RANK) -> DataFrame:
 def median_variety(styles: DataFrame) -> DataFrame:
     """Exact median of the variety per (month, state).
 
-    Styles are first counted per variety, so a group's median works on its distinct varieties.
+    The aggregate keeps a count per distinct variety and merges those counts, so the number of
+    styles in a group does not matter.
     """
-    return (
-        styles.groupBy("month", "state", "variety")
-        .agg(F.count("*").alias("n_styles"))
-        .groupBy("month", "state")
-        .agg(F.percentile("variety", 0.5, F.col("n_styles")).alias("median_variety"))
-    )
+    return styles.groupBy("month", "state").agg(F.median("variety").alias("median_variety"))

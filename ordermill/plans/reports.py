@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.functions.values import month_text
 from ordermill.operators import cleaning, percentiles, promos, variety, windows
 from ordermill.schema import CITY_FIXES, DATE_PATTERN
 from ordermill.session import stage
@@ -60,7 +61,8 @@ def dates_as_text(sizes: DataFrame) -> DataFrame:
 
 def median_varieties(orders: DataFrame, min_rank: int = variety.MIN_RANK) -> DataFrame:
     """month, state, median_variety."""
-    return variety.median_variety(variety.style_variety(variety.sku_max_rank(orders), min_rank))
+    medians = variety.median_variety(variety.style_variety(variety.sku_max_rank(orders), min_rank))
+    return medians.withColumn("month", month_text(F.col("month")))
 
 
 def qualified_orders(
@@ -93,8 +95,9 @@ def promo_percentiles(
 
     ``prepared`` is read twice (sketch and bins); persist it first if it fits.
     """
-    return percentiles.compare(
+    compared = percentiles.compare(
         percentiles.approx_percentiles(prepared, probabilities, accuracy),
         percentiles.exact_percentiles(prepared, probabilities),
         probabilities,
     )
+    return compared.withColumn("month", month_text(F.col("month")))

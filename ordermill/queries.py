@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.text import promo_count
+from ordermill.functions.values import month_text
 from ordermill.operators import cleaning, percentiles, promos, variety, windows
 from ordermill.plans import reports
 from ordermill.session import stage
@@ -26,6 +27,10 @@ def _dates_as_strings(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.date_format(name, "yyyy-MM-dd") for name in names})
 
 
+def _months_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("month", month_text(F.col("month")))
+
+
 def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, places) for name in names})
 
@@ -98,11 +103,11 @@ def window_top_size(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sku_max_rank(spark: SparkSession, folder: str) -> DataFrame:
-    return variety.sku_max_rank(star.sales_line(spark, folder))
+    return _months_as_text(variety.sku_max_rank(star.sales_line(spark, folder)))
 
 
 def style_variety(spark: SparkSession, folder: str) -> DataFrame:
-    return variety.style_variety(sku_max_rank(spark, folder))
+    return _months_as_text(variety.style_variety(variety.sku_max_rank(star.sales_line(spark, folder))))
 
 
 def median_variety(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,33 +169,37 @@ def promo_count_per_order(spark: SparkSession, folder: str) -> DataFrame:
 # --- percentiles -----------------------------------------------------------------------------
 
 
-def prepared_sku_month(spark: SparkSession, folder: str) -> DataFrame:
+def _prepared(spark: SparkSession, folder: str) -> DataFrame:
     return orders.sku_months(star.brand_line(spark, folder))
 
 
+def prepared_sku_month(spark: SparkSession, folder: str) -> DataFrame:
+    return _months_as_text(_prepared(spark, folder))
+
+
 def pct_approx(spark: SparkSession, folder: str) -> DataFrame:
-    thresholds = percentiles.approx_thresholds(prepared_sku_month(spark, folder))
-    return thresholds.withColumnsRenamed({c: f"{c}_approx" for c in ("p90_thresh", "p80_thresh")})
+    thresholds = percentiles.approx_thresholds(_prepared(spark, folder))
+    renamed = thresholds.withColumnsRenamed({c: f"{c}_approx" for c in ("p90_thresh", "p80_thresh")})
+    return _months_as_text(renamed)
 
 
 def pct_exact(spark: SparkSession, folder: str) -> DataFrame:
-    return percentiles.exact_percentiles(prepared_sku_month(spark, folder)).select(
-        "sku", "month", "p90_thresh_exact", "p80_thresh_exact"
-    )
+    exact = percentiles.exact_percentiles(_prepared(spark, folder))
+    return _months_as_text(exact.select("sku", "month", "p90_thresh_exact", "p80_thresh_exact"))
 
 
 def stddev_above_approx(spark: SparkSession, folder: str) -> DataFrame:
-    approx = percentiles.approx_percentiles(prepared_sku_month(spark, folder))
-    return _rounded(approx, 4, "p90_stddev_approx", "p80_stddev_approx")
+    approx = percentiles.approx_percentiles(_prepared(spark, folder))
+    return _rounded(_months_as_text(approx), 4, "p90_stddev_approx", "p80_stddev_approx")
 
 
 def stddev_above_exact(spark: SparkSession, folder: str) -> DataFrame:
-    exact = percentiles.exact_percentiles(prepared_sku_month(spark, folder))
-    return _rounded(exact, 4, "p90_stddev_exact", "p80_stddev_exact")
+    exact = percentiles.exact_percentiles(_prepared(spark, folder))
+    return _rounded(_months_as_text(exact), 4, "p90_stddev_exact", "p80_stddev_exact")
 
 
 def _compared(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.promo_percentiles(prepared_sku_month(spark, folder))
+    return reports.promo_percentiles(_prepared(spark, folder))
 
 
 def pct_compare(spark: SparkSession, folder: str) -> DataFrame:

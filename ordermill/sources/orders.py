@@ -64,7 +64,7 @@ def normalize_places(orders: DataFrame) -> DataFrame:
 
 
 def sku_orders(raw: DataFrame) -> DataFrame:
-    """sku, month, n_promos, amount: the input of the percentile operators."""
+    """sku, month (its first day), n_promos, amount: the input of the percentile operators."""
     return sku_months(
         raw.select(
             F.col("SKU").alias("sku"),
@@ -77,7 +77,7 @@ def sku_orders(raw: DataFrame) -> DataFrame:
 
 def sku_months(orders: DataFrame) -> DataFrame:
     """Normalise the sku, derive the month and keep the orders that have both."""
-    sku, month = F.upper(F.trim(F.col("sku"))), month_of(F.col("order_date"))
-    return orders.filter(present(sku) & month.isNotNull()).select(
-        sku.alias("sku"), month.alias("month"), "n_promos", "amount"
+    sku = F.upper(F.trim(F.col("sku")))
+    return orders.filter(present(sku) & F.col("order_date").isNotNull()).select(
+        sku.alias("sku"), month_of(F.col("order_date")).alias("month"), "n_promos", "amount"
     )
