@@ -24,6 +24,11 @@ def parse_date_clamped(text: Column) -> Column:
     return F.when(well_formed, F.least(day, F.last_day(month_start)))
 
 
+def utc_date(moment: Column) -> Column:
+    """The UTC day of a timestamp, whatever the zone of the session."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(moment) / 86_400).cast("int"))
+
+
 def month_of(date: Column) -> Column:
     """First day of the month: a cheaper grouping key than its text, see `month_text`."""
     return F.trunc(date, "month")

@@ -34,13 +34,14 @@ def salted_lookup(
     a salt and must be bounded in size, as it is broadcast; without it every key is salted.
     """
     salt = F.pmod(spread, F.lit(SALTS))
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    unsalted = F.lit(0).cast("long")
+    salts = F.sequence(unsalted, F.lit(SALTS - 1).cast("long"))
     if hot is not None:
         marks = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
         df, lookup = df.join(marks, key, "left"), lookup.join(marks, key, "left")
-        salt = F.when(F.col("_hot"), salt).otherwise(0)
-        salts = F.when(F.col("_hot"), salts).otherwise(F.array(F.lit(0)))
+        salt = F.when(F.col("_hot"), salt).otherwise(unsalted)
+        salts = F.when(F.col("_hot"), salts).otherwise(F.array(unsalted))
     # a null key matches nothing, so its rows may go anywhere
     salt = F.when(F.col(key).isNull(), spread).otherwise(salt)
-    copies = lookup.withColumn("_salt", F.explode(salts).cast("long")).drop("_hot")
-    return df.withColumn("_salt", salt.cast("long")).join(copies, [key, "_salt"], "left").drop("_salt", "_hot")
+    copies = lookup.withColumn("_salt", F.explode(salts)).drop("_hot")
+    return df.withColumn("_salt", salt).join(copies, [key, "_salt"], "left").drop("_salt", "_hot")

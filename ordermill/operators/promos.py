@@ -55,7 +55,7 @@ def cancelled_candidates(orders: DataFrame) -> DataFrame:
 def hot_promos(lifespans: DataFrame) -> DataFrame:
     """The codes that hold a large share of all uses."""
     uses = lifespans.agg(F.sum("n_tokens")).first()[0] or 0
-    return lifespans.filter(F.col("n_tokens") * HOT_SHARE >= max(uses, HOT_SHARE)).select("promo")
+    return lifespans.filter(F.col("n_tokens") * HOT_SHARE >= uses).select("promo")
 
 
 def _spread() -> Column:

@@ -136,6 +136,26 @@ groups_found AS (
   FROM cuts JOIN above ON cuts.sku = above.sku AND cuts."month" = above."month")"""
 
 
+# a window is closed when its date is at or before the watermark, one day behind the last order
+STREAM = """
+event_order AS (
+  SELECT event_type AS state, ts, CAST(ts AS DATE) AS order_date,
+    CASE user_id % 11 WHEN 0 THEN 'Free' WHEN 1 THEN 'XS' WHEN 2 THEN 'S' WHEN 3 THEN 'M' WHEN 4 THEN 'L'
+      WHEN 5 THEN 'XL' WHEN 6 THEN 'XXL' WHEN 7 THEN '3XL' WHEN 8 THEN '4XL' WHEN 9 THEN '5XL'
+      ELSE '6XL' END AS size,
+    CAST(json_extract_string(props, '$.k') AS INTEGER) AS qty
+  FROM events),
+lengths AS (
+  SELECT state, CASE WHEN count(*) > 2000 THEN 5 ELSE 10 END AS window_days FROM event_order GROUP BY state),
+shipped AS (SELECT * FROM event_order WHERE qty > 0 AND state <> '' AND size <> ''),
+totals AS (
+  SELECT shipped.state, CAST(order_date + CAST(ahead AS INTEGER) AS DATE) AS window_date, size,
+    count(*) AS n, CAST(sum(qty) AS BIGINT) AS sum_qty, CAST(sum(qty * qty) AS BIGINT) AS sum_qty_sq
+  FROM shipped JOIN lengths ON shipped.state = lengths.state JOIN generate_series(1, 10) AS days(ahead)
+    ON ahead <= window_days
+  GROUP BY ALL)"""
+
+
 def _with(tables: str, select: str) -> str:
     return f"WITH {tables.strip()}\n{select}"
 
@@ -195,12 +215,12 @@ FROM steady GROUP BY state, window_date""",
   n_tokens, CAST(active_days AS INTEGER) AS active_days FROM lifespan""",
     ),
     "valid_promos": _with(PROMOS, "SELECT promo FROM lifespan WHERE active_days >= 2"),
-    "state_threshold": _with(PROMOS, "SELECT state, round(state_avg, 4) AS state_avg FROM threshold"),
+    "state_threshold": _with(PROMOS, "SELECT state, round(state_avg + 1e-7, 4) AS state_avg FROM threshold"),
     "cancelled_candidates": _with(PROMOS, "SELECT row_id, city, state, amount, promotion_ids FROM candidates"),
     "valid_promo_count": _with(PROMOS, "SELECT row_id, n_valid FROM valid_count"),
     "qualified_orders": _with(
         PROMOS,
-        """SELECT row_id, city, state, amount, n_valid, round(state_avg, 4) AS state_avg, qualified
+        """SELECT row_id, city, state, amount, n_valid, round(state_avg + 1e-7, 4) AS state_avg, qualified
 FROM qualified""",
     ),
     "city_cancel_pct": _with(PROMOS, "SELECT city, total_orders, qualified_orders, pct_cancelled FROM cities"),
@@ -258,4 +278,9 @@ FROM groups_found""",
         PERCENTILES,
         """SELECT sku, "month", round(p90_stddev, 4) AS p90_stddev_exact FROM groups_found WHERE p90_stddev > 0""",
     ),
+    "stream_sliding_window": _with(
+        STREAM,
+        """SELECT state, strftime(window_date, '%Y-%m-%d') AS window_date, size, n, sum_qty, sum_qty_sq FROM totals
+WHERE window_date <= (SELECT max(ts) - INTERVAL 1 DAY FROM shipped)""",
+    ),
 }

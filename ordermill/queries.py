@@ -11,13 +11,15 @@ from ordermill.functions.text import promo_count
 from ordermill.functions.values import month_text
 from ordermill.operators import cleaning, percentiles, promos, variety, windows
 from ordermill.plans import reports
-from ordermill.session import stage
+from ordermill.session import new_folder, stage
 from ordermill.sources import orders, star
+from ordermill.streaming import windows as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Orders per state that make its window short, for tables where states have some 1600 orders.
 VOLUME_CUTOFF = 1600
+EVENT_CUTOFF = 2000
 
 # City corrections in terms of the star schema.
 CITY_FIXES = [("N21", "BUILDING", "NATION_21"), ("N22", "MACHINERY", "NATION_22")]
@@ -35,6 +37,11 @@ def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, places) for name in names})
 
 
+def _rounded_average(df: DataFrame) -> DataFrame:
+    # averages of cents hit exact ties, which the order of summation would round either way
+    return df.withColumn("state_avg", F.round(F.col("state_avg") + 1e-7, 4))
+
+
 # --- state names -----------------------------------------------------------------------------
 
 
@@ -135,7 +142,7 @@ def valid_promos(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def state_threshold(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(promos.state_threshold(_promo_orders(spark, folder)), 4, "state_avg")
+    return _rounded_average(promos.state_threshold(_promo_orders(spark, folder)))
 
 
 def cancelled_candidates(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,7 +157,7 @@ def valid_promo_count(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def qualified_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(reports.qualified_orders(_promo_orders(spark, folder)), 4, "state_avg")
+    return _rounded_average(reports.qualified_orders(_promo_orders(spark, folder)))
 
 
 def city_cancel_pct(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,6 +228,18 @@ def stddev_nonzero(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(groups.select("sku", "month", "p90_stddev_exact"), 4, "p90_stddev_exact")
 
 
+# --- streaming -------------------------------------------------------------------------------
+
+
+def stream_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
+    volume = star.event_orders(star.table(spark, folder, "events")).groupBy("state").agg(F.count("*").alias("n_orders"))
+    lengths = stage(windows.window_lengths(volume, EVENT_CUTOFF), "lengths")
+    totals = streaming.window_totals(streaming.read_orders(spark, folder), lengths)
+    path = new_folder(spark, "closed-windows")
+    streaming.write_closed_windows(totals, path, new_folder(spark, "stream"), available_now=True).awaitTermination()
+    return _dates_as_strings(spark.read.schema(totals.schema).parquet(path), "window_date")
+
+
 QUERIES: dict[str, Query] = {
     "clean_states": clean_states,
     "state_fix_by_city": state_fix_by_city,
@@ -255,4 +274,5 @@ QUERIES: dict[str, Query] = {
     "pct_diff_report": pct_diff_report,
     "pct_max_diff": pct_max_diff,
     "stddev_nonzero": stddev_nonzero,
+    "stream_sliding_window": stream_sliding_window,
 }

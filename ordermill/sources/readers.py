@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.text import trim_control
-from ordermill.schema import ORDER_SCHEMA
+from ordermill.schema import ORDER_COLUMNS
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -27,7 +27,8 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
 
 def split_line(line: Column) -> Column:
     """A struct of the order columns parsed from one CSV line; a short line leaves nulls."""
-    return F.from_csv(line, F.lit(ORDER_SCHEMA.simpleString()[len("struct<") : -1]), {"quote": '"', "escape": '"'})
+    columns = ", ".join(f"`{name}` string" for name in ORDER_COLUMNS)
+    return F.from_csv(line, columns, {"quote": '"', "escape": '"'})
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:

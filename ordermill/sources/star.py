@@ -121,3 +121,16 @@ def state_alias(spark: SparkSession, folder: str) -> DataFrame:
     )
     spaced = nation.select(F.replace("n_name", F.lit("_"), F.lit(" ")).alias("alias"), F.col("n_name").alias("canon"))
     return short.unionAll(spaced)
+
+
+def event_orders(events: DataFrame) -> DataFrame:
+    """Events as orders: the type is the state, the user picks the size, the property k is the quantity."""
+    size = F.element_at(F.array(*map(F.lit, ["Free", *SIZES])), (F.col("user_id") % 11 + 1).cast("int"))
+    # event times carry no zone and are read as UTC, whatever the zone of the session
+    ordered_at = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    return events.select(
+        F.col("event_type").alias("state"),
+        ordered_at.alias("ordered_at"),
+        size.alias("size"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("qty"),
+    )

@@ -1,0 +1,46 @@
+from conftest import rows
+from ordermill.__main__ import main
+from ordermill.schema import ORDER_COLUMNS
+from ordermill.sources import readers
+
+
+def order_file(path, orders):
+    lines = [",".join(f'"{o[c]}"' if c in o else "" for c in ORDER_COLUMNS) for o in orders]
+    path.write_text("\n".join([",".join(ORDER_COLUMNS), *lines]) + "\n")
+    return str(path)
+
+
+ORDERS = [
+    {"index": i, "Date": f"04-0{i}-22", "Status": status, "Fulfilment": "Merchant", "ship-service-level": "Standard",
+     "Style": "ST", "SKU": f"ST-{i}", "Size": "XXL", "Courier Status": "Shipped", "Qty": 1, "Amount": 10 * i,
+     "ship-city": "Panjim", "ship-state": state, "promotion-ids": "P1, P2,P3"}
+    for i, status, state in [(1, "Shipped", "goa"), (2, "Cancelled", "Goa "), (3, "Shipped", "GOA"), (4, "Shipped", "NA")]
+]
+
+
+def test_analyses_from_file_to_file(spark, tmp_path):
+    raw, clean = order_file(tmp_path / "raw.csv", ORDERS), str(tmp_path / "clean.csv")
+    main(["clean-states", raw, clean, "--flat"])
+    assert {r["ship-state"] for r in readers.read_csv(spark, clean).collect()} == {"GOA"}
+
+    main(["popular-sizes", clean, str(tmp_path / "sizes.csv"), "--flat"])
+    sizes = (tmp_path / "sizes.csv").read_text().splitlines()
+    assert sizes[0] == "state,window_date,size"
+    assert sizes[1:] == [f"GOA,04-{d:02}-22,XXL" for d in range(2, 14)]
+
+    main(["median-variety", clean, str(tmp_path / "variety.csv"), "--flat"])
+    assert (tmp_path / "variety.csv").read_text().splitlines() == ["month,state,median_variety", "2022-04,GOA,3.0"]
+
+    main(["cancelled-share", clean, str(tmp_path / "share")])
+    assert rows(readers.read_parquet(spark, str(tmp_path / "share"))) == [("PANJIM", 1, 0, 0.0)]
+
+    main(["promo-percentiles", clean, str(tmp_path / "pct.parquet"), "--flat"])
+    found = readers.read_parquet(spark, str(tmp_path / "pct.parquet"))
+    assert rows(found, "sku", "p90_thresh_exact") == [("ST-1", 3), ("ST-2", 3), ("ST-3", 3)]
+
+
+def test_parquet_input(spark, tmp_path):
+    raw = order_file(tmp_path / "raw.csv", ORDERS)
+    readers.read_csv(spark, raw).write.parquet(str(tmp_path / "orders.parquet"))
+    main(["median-variety", str(tmp_path / "orders.parquet"), str(tmp_path / "variety")])
+    assert (tmp_path / "variety").is_dir()

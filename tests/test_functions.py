@@ -1,0 +1,112 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.functions import text, values
+
+
+def one(spark, value, kind, fn):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(fn(F.col("v"))).first()[0]
+
+
+@pytest.mark.parametrize(
+    "given,expected",
+    [
+        ("04-01-22", dt.date(2022, 4, 1)),
+        ("02-30-22", None),
+        ("02-32-22", None),
+        ("4-3-22", None),
+        ("13-01-22", None),
+        ("", None),
+        ("xx", None),
+        (None, None),
+    ],
+)
+def test_parse_date(spark, given, expected):
+    assert one(spark, given, "string", values.parse_date) == expected
+
+
+@pytest.mark.parametrize(
+    "given,expected",
+    [
+        ("04-01-22", dt.date(2022, 4, 1)),
+        ("02-30-22", dt.date(2022, 2, 28)),
+        ("02-31-24", dt.date(2024, 2, 29)),
+        ("04-31-22", dt.date(2022, 4, 30)),
+        ("12-31-99", dt.date(2099, 12, 31)),
+        ("02-32-22", None),
+        ("02-00-22", None),
+        ("13-01-22", None),
+        ("4-3-22", None),
+        ("04-01-22\n", None),
+        ("04-01-2022", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_parse_date_clamped(spark, given, expected):
+    assert one(spark, given, "string", values.parse_date_clamped) == expected
+
+
+@pytest.mark.parametrize(
+    "given,expected",
+    [(None, 0), ("", 0), ("  ", 0), (",", 0), ("a, b,,c , ", 3), ("a", 1), ("\t,a\n", 1), ("a,a", 2)],
+)
+def test_promo_count(spark, given, expected):
+    assert one(spark, given, "string", text.promo_count) == expected
+
+
+def test_promo_tokens_keep_order_and_repeats(spark):
+    assert one(spark, "P1, P2,,P1", "string", text.promo_tokens) == ["P1", "P2", "P1"]
+    assert one(spark, None, "string", text.promo_tokens) is None
+
+
+def test_three_trims(spark):
+    value = " \t\x00a b\x1f　 "
+    assert one(spark, value, "string", text.trim_control) == "a b\x1f　"
+    assert one(spark, "\xa0　 a b \t", "string", text.trim_unicode) == "a b"
+    assert one(spark, value, "string", F.trim) == value.strip(" ")
+
+
+def test_trim_unicode_agrees_with_python(spark):
+    every = [chr(i) for i in range(0x3100)]
+    got = spark.createDataFrame([(c + "x" + c,) for c in every], "v string").select("v", text.trim_unicode(F.col("v")))
+    assert all(trimmed == v.strip() for v, trimmed in got.collect())
+
+
+@pytest.mark.parametrize(
+    "given,expected",
+    [("XS", 1), ("XXL", 6), ("6XL", 10), ("Free", 0), ("xl", 0), ("", 0), (None, 0)],
+)
+def test_size_rank(spark, given, expected):
+    assert one(spark, given, "string", text.size_rank) == expected
+
+
+@pytest.mark.parametrize(
+    "given,kind,expected",
+    [("3", "int", 3), ("1.0", "int", 0), ("1.0", "double", 1.0), ("abc", "double", 0.0), ("", "int", 0), (None, "int", 0)],
+)
+def test_number_or_zero(spark, given, kind, expected):
+    assert one(spark, given, "string", lambda c: values.number_or_zero(c, kind)) == expected
+
+
+def test_is_positive_leaves_out_nan(spark):
+    got = [one(spark, v, "double", values.is_positive) for v in (1.0, 0.0, -1.0, float("nan"))]
+    assert got == [True, False, False, False]
+
+
+def test_percentage(spark):
+    frame = spark.createDataFrame([(1, 3), (0, 0), (2, 2)], "a long, b long")
+    got = [r[0] for r in frame.select(values.percentage(F.col("a"), F.col("b"))).collect()]
+    assert got == [33.3333, None, 100.0]
+
+
+def test_utc_date_ignores_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        moment = spark.range(1).select(F.timestamp_seconds(F.lit(86_399)).alias("t"))
+        assert moment.select(values.utc_date(F.col("t"))).first()[0] == dt.date(1970, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -1,0 +1,150 @@
+import math
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from ordermill.operators import percentiles
+from ordermill.plans import reports
+from ordermill.sources import orders
+
+NAMES = ["SKU", "Date", "promotion-ids", "Amount"]
+
+
+def codes(n):
+    return ",".join(f"P{i}" for i in range(n)) or None
+
+
+GOLDEN = [
+    ("k1", 0, "5"),
+    (" K1", 0, "7"),
+    ("k1", 1, "9"),
+    ("k1", 2, "10"),
+    ("k1", 3, "20"),
+    ("k2", 0, None),
+    ("k3", 1, "4"),
+    ("k3", 1, "8"),
+]
+
+
+@pytest.fixture(scope="module")
+def golden(raw_orders):
+    data = [(k, "04-01-22", codes(n), a) for k, n, a in GOLDEN]
+    data += [(None, "04-01-22", None, "1"), ("  ", "04-01-22", None, "1"), ("k1", "bad", None, "1")]
+    return orders.sku_orders(raw_orders([dict(zip(NAMES, r)) for r in data]))
+
+
+def test_prepared_drops_orders_without_sku_or_month(golden):
+    assert golden.count() == len(GOLDEN)
+
+
+def test_golden(golden):
+    result = reports.promo_percentiles(golden)
+    for kind in ("approx", "exact"):
+        columns = [f"{p}_{m}_{kind}" for m in ("thresh", "stddev") for p in ("p90", "p80")]
+        assert rows(result, "sku", *columns, "total_group_orders") == [
+            ("K1", 3, 2, 0.0, 5.0, 5),
+            ("K2", 0, 0, 0.0, 0.0, 1),
+            ("K3", 1, 1, 2.0, 2.0, 2),
+        ]
+    assert {r.month for r in result.collect()} == {"2022-04"}
+
+
+def test_result_columns(golden):
+    assert reports.promo_percentiles(golden).columns == [
+        "sku", "month",
+        "p90_thresh_approx", "p80_thresh_approx", "total_group_orders", "p90_stddev_approx", "p80_stddev_approx",
+        "p90_thresh_exact", "p80_thresh_exact", "p90_stddev_exact", "p80_stddev_exact",
+        "p90_thresh_diff", "p80_thresh_diff", "p90_stddev_diff", "p80_stddev_diff",
+    ]
+
+
+def prepared_from(spark, data):
+    return spark.createDataFrame(data, "sku string, month string, n_promos int, amount double").withColumn(
+        "month", F.to_date("month")
+    )
+
+
+def random_groups(seed, groups=25):
+    rng, data = random.Random(seed), []
+    for g in range(groups):
+        base = rng.choice([0.0, 1e7])
+        # the first group is far larger than the others
+        for _ in range(3000 if g == 0 else rng.randint(1, 40)):
+            amount = None if rng.random() < 0.2 else base + rng.uniform(0, 10)
+            data.append((f"K{g}", "2022-04-01", rng.randint(0, 12), amount))
+    return data
+
+
+def brute_force(data, probability):
+    groups = {}
+    for sku, _, n, amount in data:
+        groups.setdefault(sku, []).append((n, amount))
+    result = {}
+    for sku, orders_ in groups.items():
+        ordered = sorted(n for n, _ in orders_)
+        cut = ordered[math.ceil(probability * len(ordered)) - 1]
+        amounts = [a for n, a in orders_ if n >= cut and a is not None]
+        result[sku] = (cut, statistics.pstdev(amounts) if len(amounts) > 1 else 0.0)
+    return result
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_by_brute_force(spark, seed):
+    data = random_groups(seed)
+    result = {r.sku: r for r in reports.promo_percentiles(prepared_from(spark, data)).collect()}
+    for probability, name in ((0.9, "p90"), (0.8, "p80")):
+        expected = brute_force(data, probability)
+        assert set(result) == set(expected)
+        for sku, (cut, deviation) in expected.items():
+            for kind in ("approx", "exact"):
+                assert result[sku][f"{name}_thresh_{kind}"] == cut
+                assert result[sku][f"{name}_stddev_{kind}"] == pytest.approx(deviation, rel=1e-7, abs=1e-7)
+
+
+def test_exact_equals_percentile_disc(spark):
+    frame = prepared_from(spark, random_groups(3))
+    exact = percentiles.exact_percentiles(frame).select("sku", "p90_thresh_exact", "p80_thresh_exact")
+    frame.createOrReplaceTempView("prepared_orders")
+    disc = spark.sql(
+        """SELECT sku, CAST(percentile_disc(0.9) WITHIN GROUP (ORDER BY n_promos) AS INT) AS p90_thresh_exact,
+        CAST(percentile_disc(0.8) WITHIN GROUP (ORDER BY n_promos) AS INT) AS p80_thresh_exact
+        FROM prepared_orders GROUP BY sku"""
+    )
+    assert rows(exact) == rows(disc)
+
+
+def test_other_probabilities(spark):
+    data = random_groups(4, groups=6)
+    result = reports.promo_percentiles(prepared_from(spark, data), probabilities=(0.5, 0.99))
+    expected = {sku: cut for sku, (cut, _) in brute_force(data, 0.5).items()}
+    assert {r.sku: r.p50_thresh_exact for r in result.collect()} == expected
+    assert "p99_stddev_diff" in result.columns
+
+
+def test_single_nan_amount_has_no_deviation(spark):
+    frame = prepared_from(spark, [("K", "2022-04-01", 1, float("nan"))])
+    assert reports.promo_percentiles(frame).first().p90_stddev_exact == 0.0
+
+
+def test_reports_over_differences(spark):
+    names = "sku string, month string, p90_thresh_diff int, p80_thresh_diff int, p90_stddev_diff double, "
+    names += "p80_stddev_diff double, p90_stddev_exact double"
+    data = [("A", "m", 1, 0, 0.5, 0.0, 3.0), ("B", "m", 0, 0, 0.00005, 0.0, 0.0), ("C", "m", 0, 2, 0.0, 0.25, 1.0)]
+    compared = spark.createDataFrame(data, names)
+    assert tuple(percentiles.difference_report(compared).first()) == (3, 1, 1, 33.33, 33.33)
+    assert tuple(percentiles.largest_differences(compared).first()) == (1, 2, 0.5, 0.25)
+    assert rows(percentiles.nonzero_deviation(compared), "sku") == [("A",), ("C",)]
+
+
+def test_large_group_within_the_accuracy_of_the_sketch(spark):
+    frame = spark.range(60_000).select(
+        F.lit("K").alias("sku"),
+        F.to_date(F.lit("2022-04-01")).alias("month"),
+        (F.col("id") * 7919 % 60_000).cast("int").alias("n_promos"),
+        F.lit(1.0).alias("amount"),
+    )
+    cut = percentiles.approx_thresholds(frame).first()
+    assert abs(cut.p90_thresh - 53_999) <= 6 and abs(cut.p80_thresh - 47_999) <= 6
