@@ -1,4 +1,4 @@
-"""Command line: ``python -m ordermill <analysis> <input csv> <output> [--flat]``."""
+"""Command line: ``python -m ordermill <analysis> <input> <output> [--flat] [--splittable]``."""
 
 from __future__ import annotations
 
@@ -43,12 +43,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("input", help="order table: CSV with a header line, or *.parquet")
     parser.add_argument("output")
     parser.add_argument("--flat", action="store_true", help="one file instead of a folder (results of checked size)")
+    parser.add_argument("--splittable", action="store_true", help="no CSV field holds a line end: read each file in parallel")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"ordermill {args.analysis}").getOrCreate()
-    read = readers.read_parquet if args.input.rstrip("/").endswith(".parquet") else readers.read_csv
+    if args.input.rstrip("/").endswith(".parquet"):
+        raw = readers.read_parquet(spark, args.input)
+    else:
+        raw = readers.read_csv(spark, args.input, multi_line=not args.splittable)
     analysis, file_format = ANALYSES[args.analysis]
-    result = analysis(read(spark, args.input))
+    result = analysis(raw)
     if args.flat:
         writers.write_flat_file(result, args.output, file_format)
     elif file_format == "csv":

@@ -148,6 +148,19 @@ def largest_differences(compared: DataFrame) -> DataFrame:
     return compared.agg(*[F.max(c).alias(f"max_{c}") for c in columns])
 
 
+def deviation_profile(compared: DataFrame) -> DataFrame:
+    """Number of groups, and of those whose exact P90 deviation is above zero."""
+    return compared.agg(
+        F.count("*").alias("n_groups"),
+        F.count_if(F.col("p90_stddev_exact") > 0).alias("n_nonzero_stddev"),
+    )
+
+
+def preview(compared: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` groups in the order of sku and month."""
+    return compared.orderBy(*GROUP).limit(n)
+
+
 def nonzero_deviation(compared: DataFrame) -> DataFrame:
     """Groups whose exact P90 deviation is above zero."""
     return compared.filter("p90_stddev_exact > 0")

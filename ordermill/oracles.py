@@ -278,6 +278,10 @@ FROM groups_found""",
         PERCENTILES,
         """SELECT sku, "month", round(p90_stddev, 4) AS p90_stddev_exact FROM groups_found WHERE p90_stddev > 0""",
     ),
+    "stddev_profile": _with(
+        PERCENTILES,
+        """SELECT count(*) AS n_groups, count(*) FILTER (p90_stddev > 0) AS n_nonzero_stddev FROM groups_found""",
+    ),
     "stream_sliding_window": _with(
         STREAM,
         """SELECT state, strftime(window_date, '%Y-%m-%d') AS window_date, size, n, sum_qty, sum_qty_sq FROM totals

@@ -228,6 +228,10 @@ def stddev_nonzero(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(groups.select("sku", "month", "p90_stddev_exact"), 4, "p90_stddev_exact")
 
 
+def stddev_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return percentiles.deviation_profile(_compared(spark, folder))
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 
@@ -274,5 +278,6 @@ QUERIES: dict[str, Query] = {
     "pct_diff_report": pct_diff_report,
     "pct_max_diff": pct_max_diff,
     "stddev_nonzero": stddev_nonzero,
+    "stddev_profile": stddev_profile,
     "stream_sliding_window": stream_sliding_window,
 }

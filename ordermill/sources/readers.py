@@ -34,15 +34,16 @@ def split_line(line: Column) -> Column:
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Order columns from a text column of CSV lines.
 
-    Header lines (wherever they stand), blank lines and lines that end before the state
-    column are left out.
+    Header lines (wherever they stand), blank lines and lines without a state, among them those
+    that end before it, are left out.
     """
     line = F.col(column)
+    header = trim_control(F.col("Date")).eqNullSafe("Date")
     return (
         lines.filter((trim_control(line) != "") & ~line.startswith("index,Order ID"))
         .select(split_line(line).alias("order"))
         .select("order.*")
-        .filter(F.col("ship-state").isNotNull() & (trim_control(F.col("Date")) != "Date"))
+        .filter(F.col("ship-state").isNotNull() & ~header)
     )
 
 

@@ -23,7 +23,7 @@ def test_analyses_from_file_to_file(spark, tmp_path):
     main(["clean-states", raw, clean, "--flat"])
     assert {r["ship-state"] for r in readers.read_csv(spark, clean).collect()} == {"GOA"}
 
-    main(["popular-sizes", clean, str(tmp_path / "sizes.csv"), "--flat"])
+    main(["popular-sizes", clean, str(tmp_path / "sizes.csv"), "--flat", "--splittable"])
     sizes = (tmp_path / "sizes.csv").read_text().splitlines()
     assert sizes[0] == "state,window_date,size"
     assert sizes[1:] == [f"GOA,04-{d:02}-22,XXL" for d in range(2, 14)]

@@ -137,6 +137,19 @@ def test_reports_over_differences(spark):
     assert tuple(percentiles.difference_report(compared).first()) == (3, 1, 1, 33.33, 33.33)
     assert tuple(percentiles.largest_differences(compared).first()) == (1, 2, 0.5, 0.25)
     assert rows(percentiles.nonzero_deviation(compared), "sku") == [("A",), ("C",)]
+    assert tuple(percentiles.deviation_profile(compared).first()) == (3, 2)
+    assert [r.sku for r in percentiles.preview(compared, 2).collect()] == ["A", "B"]
+
+
+def test_persisted_input_is_read_once(spark, golden):
+    expected = rows(reports.promo_percentiles(golden))
+    kept = golden.persist()
+    try:
+        result = reports.promo_percentiles(kept)
+        assert "InMemoryTableScan" in result._jdf.queryExecution().executedPlan().toString()
+        assert rows(result) == expected
+    finally:
+        kept.unpersist()
 
 
 def test_large_group_within_the_accuracy_of_the_sketch(spark):

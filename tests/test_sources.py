@@ -45,7 +45,7 @@ def test_lines_drop_headers_blanks_and_short_lines(spark, tmp_path):
             header,
             "1,b,04-01-22,Shipped",
             header.replace("index", "row"),
-            line(index="2", date="04-02-22", ship_state="GOA"),
+            line(index="2", ship_state="GOA"),
         ]
     )
     (tmp_path / "orders.csv").write_text(text)
