@@ -44,7 +44,7 @@ def promo_tokens(promotion_ids: Column, trim: Callable[[Column], Column] = F.tri
 
 def promo_count(promotion_ids: Column) -> Column:
     """Number of non-empty codes in a comma list; 0 for a null or blank list."""
-    return F.coalesce(F.size(promo_tokens(promotion_ids, trim_control)), F.lit(0))
+    return F.coalesce(F.array_size(promo_tokens(promotion_ids, trim_control)), F.lit(0))
 
 
 def size_rank(size: Column) -> Column:

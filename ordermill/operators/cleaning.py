@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.text import trim_unicode
+from ordermill.operators.lookup import lookup_join
 from ordermill.schema import CITY_FIXES, MISSING_MARKERS, STATE_ALIASES, STATES
 
 
@@ -28,17 +29,10 @@ def standard_spelling(df: DataFrame, column: str) -> DataFrame:
 
 
 def replace_aliases(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
-    """Replace the values listed in ``aliases`` (unique on ``alias``), keep all others.
-
-    No join hint: the alias table is read with its size known, so the planner broadcasts it
-    while it is under the broadcast threshold.
-    """
-    lookup = aliases.select(F.col("alias").alias("_alias"), F.col("canon").alias("_canon"))
-    return (
-        df.join(lookup, F.col(column) == F.col("_alias"), "left")
-        .withColumn(column, F.coalesce("_canon", column))
-        .drop("_alias", "_canon")
-    )
+    """Replace the values listed in ``aliases`` (unique on ``alias``), keep all others."""
+    lookup = aliases.select(F.col("alias").alias(column), F.col("canon").alias("_canon"))
+    joined = lookup_join(df, lookup, column, F.xxhash64("*"))
+    return joined.select(*[F.coalesce("_canon", c).alias(c) if c == column else c for c in df.columns])
 
 
 def fix_by_city(

@@ -6,6 +6,8 @@ key that holds many rows of the large frame is spread over several tasks by a sa
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,21 +16,33 @@ BROADCAST_BYTES = 8 << 20
 SALTS = 64
 
 
-def fits_broadcast(lookup: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a staged lookup table is small, by its row count and the bytes of its keys."""
-    rows, size = lookup.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))).first()
+def fits_broadcast(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a lookup table is small, by the rows and bytes found in it."""
+    text = F.concat_ws("", *[F.col(c).cast("string") for c in lookup.columns])
+    rows, size = lookup.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
     return rows <= max_rows and size <= BROADCAST_BYTES
 
 
-def broadcast_lookup(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """For a lookup table that `fits_broadcast`."""
-    return df.join(F.broadcast(lookup), key, "left")
+def lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread: Column,
+    hot: Callable[[], DataFrame] | None = None,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Left join by whichever way the size of ``lookup`` allows.
 
+    ``lookup`` is read to find its size, so stage it when it is more than a file scan away.
+    See `salted_join` for ``spread`` and ``hot``, which is built only if needed.
+    """
+    if fits_broadcast(lookup, max_rows):
+        return df.join(F.broadcast(lookup), key, "left")
+    return salted_join(df, lookup, key, spread, hot() if hot else None)
 
-def salted_lookup(
-    df: DataFrame, lookup: DataFrame, key: str, spread: Column, hot: DataFrame | None = None
-) -> DataFrame:
-    """For a lookup table of any size.
+
+def salted_join(df: DataFrame, lookup: DataFrame, key: str, spread: Column, hot: DataFrame | None = None) -> DataFrame:
+    """Left join with a lookup table of any size.
 
     ``spread`` is a hash that differs between the rows of one key.  ``hot`` lists the keys worth
     a salt and must be bounded in size, as it is broadcast; without it every key is salted.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.text import present, promo_tokens
 from ordermill.functions.values import percentage
-from ordermill.operators.lookup import BROADCAST_ROWS, broadcast_lookup, fits_broadcast, salted_lookup
+from ordermill.operators.lookup import BROADCAST_ROWS, lookup_join
 
 MIN_ACTIVE_DAYS = 2
 MIN_VALID_CODES = 3
@@ -79,10 +79,7 @@ def with_valid_count(
         "row_id", "city", "state", "amount", F.posexplode_outer(codes).alias("pos", "promo")
     )
     valid = valid_promos(lifespans, min_days).select("promo", F.lit(True).alias("is_valid"))
-    if fits_broadcast(valid, "promo", max_broadcast_rows):
-        matched = broadcast_lookup(tokens, valid, "promo")
-    else:
-        matched = salted_lookup(tokens, valid, "promo", _spread(), hot_promos(lifespans))
+    matched = lookup_join(tokens, valid, "promo", _spread(), lambda: hot_promos(lifespans), max_broadcast_rows)
     counted = matched.groupBy("row_id", "city", "state", "amount").agg(
         F.count("is_valid").alias("n_valid"),
         # rows equal in all four columns (possible without row_id) stay as many as they were
@@ -102,10 +99,7 @@ def with_qualified(
     ``thresholds`` is a staged `state_threshold`.  A missing amount or average does not qualify.
     """
     meets = (F.col("n_valid") >= min_valid) & (F.col("amount") < F.col("state_avg"))
-    if fits_broadcast(thresholds, "state", max_broadcast_rows):
-        joined = broadcast_lookup(counted, thresholds, "state")
-    else:
-        joined = salted_lookup(counted, thresholds, "state", _spread())
+    joined = lookup_join(counted, thresholds, "state", _spread(), max_rows=max_broadcast_rows)
     return joined.withColumn("qualified", F.when(meets, 1).otherwise(0))
 
 

@@ -81,6 +81,8 @@ def window_lengths(
     volume: DataFrame, cutoff: int = VOLUME_CUTOFF, short: int = SHORT_DAYS, long: int = LONG_DAYS
 ) -> DataFrame:
     """Window length per state: ``short`` above the cut-off, else ``long``."""
+    if min(short, long) < 1:
+        raise ValueError("a window has at least one day")
     length = F.when(F.col("n_orders") > cutoff, short).otherwise(long)
     return volume.select("state", length.alias("window_days"))
 

@@ -29,6 +29,16 @@ def test_states_are_spelled_and_missing_ones_dropped(frame):
     assert rows(reports.clean_states(frame), "ship-state", "ship-city") == sorted((n, c) for _, c, n in GOLDEN)
 
 
+def test_large_alias_tables_need_no_broadcast(spark, frame, monkeypatch):
+    from ordermill.operators import lookup
+
+    expected = rows(reports.spell_states(frame), "ship-state", "ship-city")
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    merged = reports.spell_states(frame)
+    assert merged.columns == frame.columns
+    assert rows(merged, "ship-state", "ship-city") == expected
+
+
 def test_unmapped(spark, frame):
     cleaned = reports.clean_states(frame)
     unmapped = cleaning.unmapped_states(cleaned, "ship-state", cleaning.known_states(spark))

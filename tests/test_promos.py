@@ -132,13 +132,13 @@ def test_hot_codes_are_bounded(spark):
     assert promos.hot_promos(even.limit(1000)).count() == 1000
 
 
-def test_salted_lookup_spreads_the_hot_key(spark):
-    from ordermill.operators.lookup import SALTS, salted_lookup
+def test_salted_join_spreads_the_hot_key(spark):
+    from ordermill.operators.lookup import SALTS, salted_join
 
     frame = spark.range(2000).select(F.when(F.col("id") < 1500, "HOT").otherwise(F.col("id").cast("string")).alias("k"), "id")
     lookup = spark.createDataFrame([("HOT", 1), ("1600", 2)], "k string, v int")
     hot = lookup.filter("k = 'HOT'").select("k")
-    joined = salted_lookup(frame, lookup, "k", F.xxhash64("id"), hot)
+    joined = salted_join(frame, lookup, "k", F.xxhash64("id"), hot)
     assert joined.columns == ["k", "id", "v"]
     assert joined.count() == 2000
     assert rows(joined.groupBy("v").count()) == [(None, 499), (1, 1500), (2, 1)]

@@ -45,6 +45,11 @@ def test_window_lengths(golden):
     assert rows(lengths) == [("GOA", 3), ("KA", 2)]
 
 
+def test_window_lengths_are_positive(golden):
+    with pytest.raises(ValueError):
+        windows.window_lengths(windows.shipped_state_volume(golden), short=0)
+
+
 def test_state_without_volume_gets_the_default(spark, golden):
     none = spark.createDataFrame([], "state string, window_days int")
     assert {r.window_days for r in windows.with_window_length(golden, none).collect()} == {10}
