@@ -7,12 +7,12 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ordermill.plans import reports
-from ordermill.session import drop_staged
+from ordermill.session import drop_staged, stage
 from ordermill.sources import orders, readers, writers
 
 
 def _popular_sizes(raw):
-    return reports.dates_as_text(reports.popular_sizes(orders.window_orders(raw)))
+    return reports.dates_as_text(stage(reports.popular_sizes(orders.window_orders(raw)), "sizes"))
 
 
 def _median_variety(raw):

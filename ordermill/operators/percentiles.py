@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PROBABILITIES = (0.90, 0.80)
@@ -20,9 +20,14 @@ TOLERANCE = 0.0001
 GROUP = ["sku", "month"]
 
 
-def prefix(probability: float) -> str:
-    """Column prefix of a percentile: 0.9 -> p90."""
-    return f"p{round(probability * 100)}"
+def cut_names(method: str, probabilities: Sequence[float] = PROBABILITIES) -> list[str]:
+    """Names of the threshold columns of a method: p90_thresh_exact, p80_thresh_exact."""
+    return [f"p{round(p * 100)}_thresh_{method}" for p in probabilities]
+
+
+def deviation_name(cut: str) -> str:
+    """Name of the deviation above a threshold: p90_thresh_exact -> p90_stddev_exact."""
+    return cut.replace("_thresh_", "_stddev_")
 
 
 def promo_bins(prepared: DataFrame) -> DataFrame:
@@ -44,14 +49,12 @@ def approx_thresholds(
     prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Approximate percentiles of n_promos and the number of orders per (sku, month)."""
-    names = [f"{prefix(p)}_thresh" for p in probabilities]
+    sketch = F.percentile_approx("n_promos", list(probabilities), accuracy)
+    cuts = [F.col("cuts")[i].alias(name) for i, name in enumerate(cut_names("approx", probabilities))]
     return (
         prepared.groupBy(*GROUP)
-        .agg(
-            F.percentile_approx("n_promos", list(probabilities), accuracy).alias("cuts"),
-            F.count("*").alias("total_group_orders"),
-        )
-        .select(*GROUP, *[F.col("cuts")[i].alias(name) for i, name in enumerate(names)], "total_group_orders")
+        .agg(sketch.alias("cuts"), F.count("*").alias("total_group_orders"))
+        .select(*GROUP, *cuts, "total_group_orders")
     )
 
 
@@ -60,73 +63,98 @@ def with_exact_thresholds(bins: DataFrame, probabilities: Sequence[float] = PROB
     group = Window.partitionBy(*GROUP)
     upto = group.orderBy("n_promos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = bins.withColumns({"rank": F.sum("n").over(upto), "orders": F.sum("n").over(group)})
-    reached = {
-        f"{prefix(p)}_thresh": F.min(
-            F.when(F.col("rank") >= F.ceil(F.col("orders") * F.lit(float(p))), F.col("n_promos"))
-        ).over(group)
-        for p in probabilities
-    }
-    return ranked.withColumns(reached).drop("rank", "orders")
+    cuts = {}
+    for name, p in zip(cut_names("exact", probabilities), probabilities):
+        reached = F.col("rank") >= F.ceil(F.col("orders") * F.lit(float(p)))
+        cuts[name] = F.min(F.when(reached, F.col("n_promos"))).over(group)
+    return ranked.withColumns(cuts).drop("rank", "orders")
+
 
+def with_approx_thresholds(bins: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Add `approx_thresholds` to the bins of their group."""
+    return bins.join(thresholds.drop("total_group_orders"), GROUP)
 
-def stddev_above(bins: DataFrame, probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
-    """Per (sku, month): the thresholds, the number of orders, and the population standard
-    deviation of the amounts at or above each threshold, 0.0 for fewer than two amounts.
 
-    ``bins`` carry their group's thresholds.  The mean above the threshold is taken first and the
-    deviations from it second, which keeps the digits that a difference of squares would lose.
+def stddev_above(bins: DataFrame, cuts: Sequence[str]) -> DataFrame:
+    """Per (sku, month): the thresholds in the columns ``cuts``, the number of orders, and the
+    population standard deviation of the amounts at or above each, 0.0 for fewer than two amounts.
+
+    The mean above a threshold is taken first and the deviations from it second, which keeps the
+    digits that a difference of squares would lose.
     """
-    group = Window.partitionBy(*GROUP)
-    above = {p: F.col("n_promos") >= F.col(f"{prefix(p)}_thresh") for p in probabilities}
-    weight = F.col("n_amounts")
-    counts = {f"{prefix(p)}_count": F.sum(F.when(above[p], weight)).over(group) for p in probabilities}
-    sums = {
-        f"{prefix(p)}_mean": F.try_divide(
-            F.sum(F.when(above[p], weight * F.col("mean_amount"))).over(group), F.col(f"{prefix(p)}_count")
-        )
-        for p in probabilities
-    }
-    located = bins.withColumns(counts).withColumns(sums)
-
-    def deviation(p: float):
-        shift = F.col("mean_amount") - F.col(f"{prefix(p)}_mean")
-        squares = F.sum(F.when(above[p], F.col("sq_dev") + weight * shift * shift))
-        count = F.first(f"{prefix(p)}_count")
+    group, weight, mean = Window.partitionBy(*GROUP), F.col("n_amounts"), F.col("mean_amount")
+    above = {cut: F.col("n_promos") >= F.col(cut) for cut in cuts}
+    located = bins.withColumns({f"{cut}_n": F.sum(F.when(above[cut], weight)).over(group) for cut in cuts})
+    located = located.withColumns(
+        {
+            f"{cut}_mean": F.try_divide(F.sum(F.when(above[cut], weight * mean)).over(group), F.col(f"{cut}_n"))
+            for cut in cuts
+        }
+    )
+
+    def deviation(cut: str) -> Column:
+        shift = mean - F.col(f"{cut}_mean")
+        squares = F.sum(F.when(above[cut], F.col("sq_dev") + weight * shift * shift))
+        count = F.first(f"{cut}_n")
         spread = F.coalesce(F.sqrt(F.try_divide(squares, count)), F.lit(0.0))
-        return F.when(count < 2, 0.0).otherwise(spread)
+        return F.when(count < 2, 0.0).otherwise(spread).alias(deviation_name(cut))
 
     return located.groupBy(*GROUP).agg(
-        *[F.first(f"{prefix(p)}_thresh").alias(f"{prefix(p)}_thresh") for p in probabilities],
+        *[F.first(cut).alias(cut) for cut in cuts],
         F.sum("n").alias("total_group_orders"),
-        *[deviation(p).alias(f"{prefix(p)}_stddev") for p in probabilities],
+        *[deviation(cut) for cut in cuts],
     )
 
 
-def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
-    measures = [c for c in df.columns if c.endswith(("_thresh", "_stddev"))]
-    return df.withColumnsRenamed({c: f"{c}_{suffix}" for c in measures})
-
-
 def approx_percentiles(
     prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Approximate thresholds, number of orders and standard deviations per (sku, month)."""
-    thresholds = approx_thresholds(prepared, probabilities, accuracy).drop("total_group_orders")
-    bins = promo_bins(prepared).join(thresholds, GROUP)
-    return _suffixed(stddev_above(bins, probabilities), "approx")
+    bins = with_approx_thresholds(promo_bins(prepared), approx_thresholds(prepared, probabilities, accuracy))
+    return stddev_above(bins, cut_names("approx", probabilities))
 
 
 def exact_percentiles(prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
     """Nearest-rank thresholds and standard deviations per (sku, month)."""
     bins = with_exact_thresholds(promo_bins(prepared), probabilities)
-    return _suffixed(stddev_above(bins, probabilities).drop("total_group_orders"), "exact")
+    return stddev_above(bins, cut_names("exact", probabilities)).drop("total_group_orders")
+
+
+def with_differences(both: DataFrame, probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
+    """Columns of both methods side by side, with the absolute differences last."""
+    approx, exact = cut_names("approx", probabilities), cut_names("exact", probabilities)
+    differences = [
+        F.abs(F.col(a) - F.col(e)).alias(a.replace("_approx", "_diff"))
+        for a, e in [*zip(approx, exact), *zip(map(deviation_name, approx), map(deviation_name, exact))]
+    ]
+    return both.select(
+        *GROUP,
+        *approx,
+        "total_group_orders",
+        *map(deviation_name, approx),
+        *exact,
+        *map(deviation_name, exact),
+        *differences,
+    )
 
 
 def compare(approx: DataFrame, exact: DataFrame, probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
-    """Both results side by side with the absolute differences, in the order of sku and month."""
-    measures = [f"{prefix(p)}_{kind}" for kind in ("thresh", "stddev") for p in probabilities]
-    differences = {f"{m}_diff": F.abs(F.col(f"{m}_approx") - F.col(f"{m}_exact")) for m in measures}
-    return approx.join(exact, GROUP).withColumns(differences).orderBy(*GROUP)
+    """Join the results of both methods."""
+    return with_differences(approx.join(exact, GROUP), probabilities)
+
+
+def compared_percentiles(
+    prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
+) -> DataFrame:
+    """The same as `compare` of both methods, from one set of bins that carries all thresholds.
+
+    ``prepared`` is read once for the bins and once, without amounts, for the sketch.  The bins are
+    shuffled and sorted by group once, for ranks, means and deviations alike.
+    """
+    ranked = with_exact_thresholds(promo_bins(prepared), probabilities)
+    bins = with_approx_thresholds(ranked, approx_thresholds(prepared, probabilities, accuracy))
+    cuts = cut_names("approx", probabilities) + cut_names("exact", probabilities)
+    return with_differences(stddev_above(bins, cuts), probabilities)
 
 
 def difference_report(compared: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:

@@ -91,13 +91,11 @@ def promo_percentiles(
     probabilities: Sequence[float] = percentiles.PROBABILITIES,
     accuracy: int = percentiles.ACCURACY,
 ) -> DataFrame:
-    """Approximate and exact thresholds and deviations per (sku, month), with their differences.
+    """Approximate and exact thresholds and deviations per (sku, month), with their differences,
+    in the order of sku and month.
 
-    ``prepared`` is read twice (sketch and bins); persist it first if it fits.
+    ``prepared`` is read twice; persist it first if it fits.  The result is staged before it is
+    ordered, as a total order runs its input twice, once to find the ranges.
     """
-    compared = percentiles.compare(
-        percentiles.approx_percentiles(prepared, probabilities, accuracy),
-        percentiles.exact_percentiles(prepared, probabilities),
-        probabilities,
-    )
-    return compared.withColumn("month", month_text(F.col("month")))
+    compared = stage(percentiles.compared_percentiles(prepared, probabilities, accuracy), "percentiles")
+    return compared.orderBy(*percentiles.GROUP).withColumn("month", month_text(F.col("month")))

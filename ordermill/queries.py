@@ -185,9 +185,7 @@ def prepared_sku_month(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pct_approx(spark: SparkSession, folder: str) -> DataFrame:
-    thresholds = percentiles.approx_thresholds(_prepared(spark, folder))
-    renamed = thresholds.withColumnsRenamed({c: f"{c}_approx" for c in ("p90_thresh", "p80_thresh")})
-    return _months_as_text(renamed)
+    return _months_as_text(percentiles.approx_thresholds(_prepared(spark, folder)))
 
 
 def pct_exact(spark: SparkSession, folder: str) -> DataFrame:
@@ -206,11 +204,11 @@ def stddev_above_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.promo_percentiles(_prepared(spark, folder))
+    return percentiles.compared_percentiles(_prepared(spark, folder))
 
 
 def pct_compare(spark: SparkSession, folder: str) -> DataFrame:
-    compared = _compared(spark, folder)
+    compared = reports.promo_percentiles(_prepared(spark, folder))
     return _rounded(compared, 4, *[c for c in compared.columns if "stddev" in c])
 
 
@@ -224,7 +222,7 @@ def pct_max_diff(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stddev_nonzero(spark: SparkSession, folder: str) -> DataFrame:
-    groups = percentiles.nonzero_deviation(_compared(spark, folder))
+    groups = _months_as_text(percentiles.nonzero_deviation(_compared(spark, folder)))
     return _rounded(groups.select("sku", "month", "p90_stddev_exact"), 4, "p90_stddev_exact")
 
 
