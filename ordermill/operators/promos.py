@@ -62,6 +62,21 @@ def _spread() -> Column:
     return F.xxhash64("row_id", "city", "amount")
 
 
+def _codes() -> Column:
+    return F.when(F.col("row_id").isNotNull(), promo_tokens(F.col("promotion_ids")))
+
+
+def _is_first() -> Column:
+    """True on one row of each order: its first code, or its only row when it has none."""
+    return F.coalesce("pos", F.lit(0)) == 0
+
+
+def _match(tokens: DataFrame, spread: Column, lifespans: DataFrame, min_days: int, max_rows: int) -> DataFrame:
+    """Add is_valid, which is null for an invalid code."""
+    valid = valid_promos(lifespans, min_days).select("promo", F.lit(True).alias("is_valid"))
+    return lookup_join(tokens, valid, "promo", spread, lambda: hot_promos(lifespans), max_rows)
+
+
 def with_valid_count(
     candidates: DataFrame,
     lifespans: DataFrame,
@@ -74,16 +89,14 @@ def with_valid_count(
     counting needs one shuffle by order and no join back.  Orders without codes keep one row
     with a null code; orders without ``row_id`` count as having none.
     """
-    codes = F.when(F.col("row_id").isNotNull(), promo_tokens(F.col("promotion_ids")))
     tokens = candidates.select(
-        "row_id", "city", "state", "amount", F.posexplode_outer(codes).alias("pos", "promo")
+        "row_id", "city", "state", "amount", F.posexplode_outer(_codes()).alias("pos", "promo")
     )
-    valid = valid_promos(lifespans, min_days).select("promo", F.lit(True).alias("is_valid"))
-    matched = lookup_join(tokens, valid, "promo", _spread(), lambda: hot_promos(lifespans), max_broadcast_rows)
+    matched = _match(tokens, _spread(), lifespans, min_days, max_broadcast_rows)
     counted = matched.groupBy("row_id", "city", "state", "amount").agg(
         F.count("is_valid").alias("n_valid"),
         # rows equal in all four columns (possible without row_id) stay as many as they were
-        F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("copies"),
+        F.count_if(_is_first()).alias("copies"),
     )
     return counted.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies")
 
@@ -105,13 +118,55 @@ def with_qualified(
 
 def city_share(orders: DataFrame) -> DataFrame:
     """Orders, qualified orders and their percentage per city."""
-    return (
+    counts = (
         orders.filter(present(F.col("city")))
         .groupBy("city")
         .agg(F.count("*").alias("total_orders"), F.sum("qualified").alias("qualified_orders"))
-        .withColumn("pct_cancelled", percentage(F.col("qualified_orders"), F.col("total_orders")))
-        .orderBy("city")
     )
+    return _with_percentage(counts)
+
+
+def candidates_city_share(
+    candidates: DataFrame,
+    lifespans: DataFrame,
+    thresholds: DataFrame,
+    min_days: int = MIN_ACTIVE_DAYS,
+    min_valid: int = MIN_VALID_CODES,
+    max_broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """`city_share` of the candidates, without the counts of the single orders.
+
+    Only an order below the average of its state that names enough codes can qualify, so only the
+    codes of such orders are looked up, and only they are shuffled by order.  All others are
+    folded into a count per city where they are read.  ``lifespans`` and ``thresholds`` are staged.
+    """
+    spread = _spread()
+    priced = lookup_join(
+        candidates.filter(present(F.col("city"))), thresholds, "state", spread, max_rows=max_broadcast_rows
+    )
+    codes = F.coalesce(_codes(), F.array().cast("array<string>"))
+    eligible = F.coalesce((F.array_size(codes) >= min_valid) & (F.col("amount") < F.col("state_avg")), F.lit(False))
+    tokens = priced.select(
+        "row_id",
+        "city",
+        spread.alias("spread"),
+        eligible.alias("eligible"),
+        F.posexplode_outer(F.when(eligible, codes)).alias("pos", "promo"),
+    )
+    order = F.when(F.col("eligible"), F.col("row_id")).alias("row_id")
+    counted = _match(tokens, F.col("spread"), lifespans, min_days, max_broadcast_rows).groupBy(order, "eligible", "city")
+    counts = (
+        counted.agg(F.count("is_valid").alias("n_valid"), F.count_if(_is_first()).alias("orders"))
+        .withColumn("qualified", F.when(F.col("eligible") & (F.col("n_valid") >= min_valid), F.col("orders")).otherwise(0))
+        .groupBy("city")
+        .agg(F.sum("orders").alias("total_orders"), F.sum("qualified").alias("qualified_orders"))
+    )
+    return _with_percentage(counts)
+
+
+def _with_percentage(counts: DataFrame) -> DataFrame:
+    share = percentage(F.col("qualified_orders"), F.col("total_orders"))
+    return counts.withColumn("pct_cancelled", share).orderBy("city")
 
 
 def city_totals(cities: DataFrame) -> DataFrame:

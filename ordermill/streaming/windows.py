@@ -28,9 +28,9 @@ def read_orders(spark: SparkSession, folder: str) -> DataFrame:
 def window_totals(orders: DataFrame, lengths: DataFrame, long: int = LONG_DAYS, delay: str = DELAY) -> DataFrame:
     """Per (state, window_date, size): n, sum_qty, sum_qty_sq, as a streaming aggregate.
 
-    Days are UTC days.  Every order meets the ``long`` windows that cover its day; those that end later than the
-    window length of its state are left out before the aggregate.  Open windows are all the
-    state the stream keeps, about ``long`` days of (state, size) totals.
+    Days are UTC days.  Every order meets the ``long`` windows that cover its day; those that end
+    later than the window length of its state are left out before the aggregate.  Open windows
+    are all the state the stream keeps, about ``long`` days of (state, size) totals.
     """
     shipped = orders.filter(present(F.col("state")) & present(F.col("size")) & is_positive(F.col("qty")))
     reached = (
