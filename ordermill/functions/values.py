@@ -19,9 +19,10 @@ def parse_date_clamped(text: Column) -> Column:
     ``02-30-22`` is 2022-02-28; ``02-32-22`` and ``4-3-22`` are null.
     """
     well_formed = text.rlike(r"^\d{2}-(0[1-9]|[12]\d|3[01])-\d{2}\z")
-    month_start = F.try_to_date(F.concat(F.substring(text, 1, 3), F.lit("01"), F.substring(text, 6, 3)), DATE_PATTERN)
-    day = F.date_add(month_start, F.substring(text, 4, 2).try_cast("int") - 1)
-    return F.when(well_formed, F.least(day, F.last_day(month_start)))
+    year, month, day = F.substring(text, 7, 2), F.substring(text, 1, 2), F.substring(text, 4, 2)
+    month_start = F.concat(F.lit("20"), year, F.lit("-"), month, F.lit("-01")).try_cast("date")
+    date = F.date_add(month_start, day.try_cast("int") - 1)
+    return F.when(well_formed, F.least(date, F.last_day(month_start)))
 
 
 def utc_date(moment: Column) -> Column:

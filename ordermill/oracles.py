@@ -160,7 +160,25 @@ def _with(tables: str, select: str) -> str:
     return f"WITH {tables.strip()}\n{select}"
 
 
+# a two-digit year means 20yy, and day 31 of February its last day
 ORACLES: dict[str, str] = {
+    "orders_from_csv": _with(
+        SALES_ORDER,
+        """SELECT row_id,
+  strftime(make_date(2000 + year(order_date) % 100, month(order_date), day(order_date)), '%Y-%m-%d') AS order_date,
+  upper(city) AS city, upper(state) AS state, amount,
+  CAST(CASE WHEN promotion_ids IS NULL THEN 0 ELSE len(string_split(promotion_ids, ','))
+    + CASE WHEN row_id % 4 = 1 THEN 1 ELSE 0 END END AS INTEGER) AS n_promos
+FROM sales_order""",
+    ),
+    "orders_from_lines": _with(
+        SALES_LINE,
+        """SELECT upper(state) AS state,
+  strftime(CASE WHEN size = 'Free' THEN make_date(2000 + year(order_date) % 100, 3, 1) - 1
+    ELSE make_date(2000 + year(order_date) % 100, month(order_date), day(order_date)) END, '%Y-%m-%d') AS order_date,
+  status, size, qty, CASE WHEN qty % 2 = 0 THEN CAST(qty AS INTEGER) ELSE 0 END AS whole_qty
+FROM sales_line""",
+    ),
     "clean_states": _with(STATES, "SELECT row_id, city, state FROM spelled WHERE state IS NOT NULL"),
     "state_fix_by_city": _with(STATES, "SELECT row_id, city, state FROM spelled"),
     "unmapped_states": _with(

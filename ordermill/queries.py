@@ -12,7 +12,7 @@ from ordermill.functions.values import month_text
 from ordermill.operators import cleaning, percentiles, promos, variety, windows
 from ordermill.plans import reports
 from ordermill.session import new_folder, stage
-from ordermill.sources import orders, star
+from ordermill.sources import orders, readers, star, writers
 from ordermill.streaming import windows as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,23 @@ def _rounded_average(df: DataFrame) -> DataFrame:
     return df.withColumn("state_avg", F.round(F.col("state_avg") + 1e-7, 4))
 
 
+# --- sources ---------------------------------------------------------------------------------
+
+
+def orders_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "csv")
+    writers.write_csv(star.raw_sales_order(spark, folder), path)
+    typed = orders.promo_orders(readers.read_csv(spark, path))
+    n_promos = promo_count(F.col("promotion_ids")).alias("n_promos")
+    return _dates_as_strings(typed.select("row_id", "order_date", "city", "state", "amount", n_promos), "order_date")
+
+
+def orders_from_lines(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "lines")
+    star.order_lines(spark, folder).write.text(path)
+    return _dates_as_strings(orders.window_orders(readers.read_lines(spark, path)), "order_date")
+
+
 # --- state names -----------------------------------------------------------------------------
 
 
@@ -243,6 +260,8 @@ def stream_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "orders_from_csv": orders_from_csv,
+    "orders_from_lines": orders_from_lines,
     "clean_states": clean_states,
     "state_fix_by_city": state_fix_by_city,
     "unmapped_states": unmapped_states,

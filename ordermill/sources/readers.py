@@ -41,8 +41,8 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     header = trim_control(F.col("Date")).eqNullSafe("Date")
     return (
         lines.filter((trim_control(line) != "") & ~line.startswith("index,Order ID"))
-        .select(split_line(line).alias("order"))
-        .select("order.*")
+        # as a generator the parser runs once per line; a filter on its columns would repeat it
+        .select(F.inline(F.array(split_line(line))))
         .filter(F.col("ship-state").isNotNull() & ~header)
     )
 

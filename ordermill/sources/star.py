@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.schema import SIZES
+from ordermill.schema import DATE_PATTERN, ORDER_COLUMNS, SIZES
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -101,6 +101,55 @@ def sales_order(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _raw(df: DataFrame, **cells: Column) -> DataFrame:
+    """The raw order table, all strings, from the columns named as in `cells`."""
+    known = {name.lower().replace("-", "_").replace(" ", "_"): name for name in ORDER_COLUMNS}
+    columns = {known[key]: value for key, value in cells.items()}
+    return df.select(*[_text(columns.get(name, F.lit(None))).alias(name) for name in ORDER_COLUMNS])
+
+
+def raw_sales_order(spark: SparkSession, folder: str) -> DataFrame:
+    """`sales_order` as raw text, with untidy places and with quotes and line ends among the codes."""
+    key, codes = F.col("row_id"), F.col("promotion_ids")
+    return _raw(
+        sales_order(spark, folder),
+        index=key,
+        order_id=F.concat(F.lit("O-"), _text(key)),
+        date=F.date_format("order_date", DATE_PATTERN),
+        status=F.col("status"),
+        fulfilment=F.col("fulfilment"),
+        ship_service_level=F.col("service_level"),
+        courier_status=F.col("courier_status"),
+        amount=F.col("amount"),
+        ship_city=F.concat(F.lit(" "), F.lower("city")),
+        ship_state=F.concat(F.lower("state"), F.lit("  ")),
+        promotion_ids=F.when(key % 4 == 1, F.concat(codes, F.lit(',"Q"')))
+        .when(key % 4 == 3, F.concat(codes, F.lit(",\n")))
+        .otherwise(codes),
+    )
+
+
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """`sales_line` as CSV lines; odd quantities have a decimal point, and unsized articles ship on
+    February 31."""
+    year = F.date_format("order_date", "yy")
+    raw = _raw(
+        sales_line(spark, folder),
+        date=F.when(F.col("size") == "Free", F.concat(F.lit("02-31-"), year)).otherwise(
+            F.date_format("order_date", DATE_PATTERN)
+        ),
+        status=F.col("status"),
+        style=F.col("style"),
+        sku=F.col("sku"),
+        size=F.concat(F.lit("\t"), F.col("size")),
+        qty=F.when(F.col("qty") % 2 == 0, _text(F.col("whole_qty"))).otherwise(_text(F.col("qty"))),
+        ship_state=F.concat(F.lit(" "), F.lower("state")),
+        ship_country=F.lit('IN, "India"'),
+    )
+    keep = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return raw.select(F.to_csv(F.struct(*[f"`{name}`" for name in ORDER_COLUMNS]), keep).alias("value"))
+
+
 def dirty_state(spark: SparkSession, folder: str) -> DataFrame:
     """One row per customer with the nation name in one of six spellings, one of them null."""
     name, spelling = F.col("state"), F.col("c_custkey") % 6
