@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,16 +33,22 @@ def present(col: Column) -> Column:
     return col.isNotNull() & (col != "")
 
 
-def promo_tokens(promotion_ids: Column, trim: Callable[[Column], Column] = F.trim) -> Column:
-    """The non-empty codes of a comma list, in order and with repeats; null for a null list."""
-    # F.transform(..., trim) would hand the element index to F.trim as a second argument
-    codes = F.transform(F.split(promotion_ids, ","), lambda code: trim(code))
-    return F.filter(codes, lambda code: code != "")
+def code_list(promotion_ids: Column) -> Column:
+    """The entries of a comma list as they stand; null for a null list."""
+    return F.split(promotion_ids, ",")
+
+
+def code_name(entry: Column) -> Column:
+    """The code in a list entry; null for a blank entry."""
+    return F.nullif(F.trim(entry), F.lit(""))
 
 
 def promo_count(promotion_ids: Column) -> Column:
-    """Number of non-empty codes in a comma list; 0 for a null or blank list."""
-    return F.coalesce(F.array_size(promo_tokens(promotion_ids, trim_control)), F.lit(0))
+    """Number of codes in a comma list; 0 for a null or blank list.
+
+    Counts the entries that hold more than spaces and control characters.
+    """
+    return F.coalesce(F.regexp_count(promotion_ids, F.lit(r"[^,\x00-\x20][^,]*")), F.lit(0))
 
 
 def size_rank(size: Column) -> Column:

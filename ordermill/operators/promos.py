@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.text import present, promo_tokens
+from ordermill.functions.text import code_list, code_name, present
 from ordermill.functions.values import percentage
 from ordermill.operators.lookup import BROADCAST_ROWS, lookup_join
 
@@ -20,7 +20,9 @@ def promo_lifespan(orders: DataFrame) -> DataFrame:
     """First and last day, days between and number of uses (n_tokens) of every promotion code."""
     return (
         orders.filter(F.col("order_date").isNotNull())
-        .select("order_date", F.explode(promo_tokens(F.col("promotion_ids"))).alias("promo"))
+        .select("order_date", F.explode(code_list(F.col("promotion_ids"))).alias("entry"))
+        .select("order_date", code_name(F.col("entry")).alias("promo"))
+        .filter(F.col("promo").isNotNull())
         .groupBy("promo")
         .agg(
             F.min("order_date").alias("first_d"),
@@ -63,7 +65,7 @@ def _spread() -> Column:
 
 
 def _codes() -> Column:
-    return F.when(F.col("row_id").isNotNull(), promo_tokens(F.col("promotion_ids")))
+    return F.when(F.col("row_id").isNotNull(), code_list(F.col("promotion_ids")))
 
 
 def _is_first() -> Column:
@@ -72,7 +74,8 @@ def _is_first() -> Column:
 
 
 def _match(tokens: DataFrame, spread: Column, lifespans: DataFrame, min_days: int, max_rows: int) -> DataFrame:
-    """Add is_valid, which is null for an invalid code."""
+    """Add is_valid, which is null for an invalid code and for a blank list entry."""
+    tokens = tokens.withColumn("promo", code_name(F.col("promo")))
     valid = valid_promos(lifespans, min_days).select("promo", F.lit(True).alias("is_valid"))
     return lookup_join(tokens, valid, "promo", spread, lambda: hot_promos(lifespans), max_rows)
 
@@ -144,14 +147,14 @@ def candidates_city_share(
     priced = lookup_join(
         candidates.filter(present(F.col("city"))), thresholds, "state", spread, max_rows=max_broadcast_rows
     )
-    codes = F.coalesce(_codes(), F.array().cast("array<string>"))
-    eligible = F.coalesce((F.array_size(codes) >= min_valid) & (F.col("amount") < F.col("state_avg")), F.lit(False))
+    enough = F.coalesce(F.array_size(_codes()), F.lit(0)) >= min_valid
+    eligible = F.coalesce(enough & (F.col("amount") < F.col("state_avg")), F.lit(False))
     tokens = priced.select(
         "row_id",
         "city",
         spread.alias("spread"),
         eligible.alias("eligible"),
-        F.posexplode_outer(F.when(eligible, codes)).alias("pos", "promo"),
+        F.posexplode_outer(F.when(eligible, _codes())).alias("pos", "promo"),
     )
     order = F.when(F.col("eligible"), F.col("row_id")).alias("row_id")
     counted = _match(tokens, F.col("spread"), lifespans, min_days, max_broadcast_rows).groupBy(order, "eligible", "city")

@@ -1,4 +1,6 @@
+import calendar
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,9 +59,29 @@ def test_promo_count(spark, given, expected):
     assert one(spark, given, "string", text.promo_count) == expected
 
 
-def test_promo_tokens_keep_order_and_repeats(spark):
-    assert one(spark, "P1, P2,,P1", "string", text.promo_tokens) == ["P1", "P2", "P1"]
-    assert one(spark, None, "string", text.promo_tokens) is None
+def test_code_names(spark):
+    entries = spark.createDataFrame([("P1, P2,, ,P1",), (None,)], "v string").select(F.explode(text.code_list(F.col("v"))))
+    assert [r[0] for r in entries.select(text.code_name(F.col("col"))).collect()] == ["P1", "P2", None, None, "P1"]
+
+
+def test_promo_count_by_brute_force(spark):
+    rng = random.Random(3)
+    lists = ["".join(rng.choices(",, \t\x1f\x7f\nab\u3000", k=rng.randint(0, 12))) for _ in range(2000)]
+    got = spark.createDataFrame([(v,) for v in lists], "v string").select("v", text.promo_count(F.col("v")))
+    blank = "".join(map(chr, range(0x21)))
+    assert all(n == sum(bool(c.strip(blank)) for c in v.split(",")) for v, n in got.collect())
+
+
+def test_clamped_dates_by_brute_force(spark):
+    days = [f"{m:02}-{d:02}-{y:02}" for m in range(14) for d in range(34) for y in (0, 20, 23, 99)]
+    got = spark.createDataFrame([(v,) for v in days], "v string").select("v", values.parse_date_clamped(F.col("v")))
+
+    def expected(text):
+        month, day, year = int(text[:2]), int(text[3:5]), 2000 + int(text[6:])
+        if 1 <= month <= 12 and 1 <= day <= 31:
+            return dt.date(year, month, min(day, calendar.monthrange(year, month)[1]))
+
+    assert all(date == expected(v) for v, date in got.collect())
 
 
 def test_three_trims(spark):

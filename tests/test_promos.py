@@ -88,7 +88,7 @@ def skewed_orders(spark, n=900):
     rng = random.Random(5)
     data = []
     for i in range(n):
-        codes = rng.choice([None, "HOT,HOT,HOT", f"HOT,C{rng.randint(1, 60)}", f"C{rng.randint(1, 60)}, C{i}"])
+        codes = rng.choice([None, ",, ,", "HOT,HOT,,HOT", f"HOT,C{rng.randint(1, 60)}", f"C{rng.randint(1, 60)}, C{i}"])
         data.append((
             i, dt.date(2022, 4, 1) + dt.timedelta(days=rng.randint(0, 9)), rng.choice(["Cancelled", "Shipped"]),
             rng.choice(["Merchant", "Amazon"]), "Shipped", "Standard",
