@@ -37,21 +37,24 @@ def valid_promos(lifespans: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataF
     return lifespans.filter(F.col("active_days") >= min_days)
 
 
-def state_threshold(orders: DataFrame) -> DataFrame:
-    """Average amount per state of the merchant-fulfilled orders shipped by the courier."""
+def _in_threshold() -> Column:
     return (
-        orders.filter((F.col("fulfilment") == "Merchant") & (F.col("courier_status") == "Shipped"))
-        .filter(present(F.col("state")))
-        .groupBy("state")
-        .agg(F.avg("amount").alias("state_avg"))
+        (F.col("fulfilment") == "Merchant") & (F.col("courier_status") == "Shipped") & present(F.col("state"))
     )
 
 
+def _is_candidate() -> Column:
+    return F.lower("status").contains("cancelled") & (F.col("service_level") == "Standard")
+
+
+def state_threshold(orders: DataFrame) -> DataFrame:
+    """Average amount per state of the merchant-fulfilled orders shipped by the courier."""
+    return orders.filter(_in_threshold()).groupBy("state").agg(F.avg("amount").alias("state_avg"))
+
+
 def cancelled_candidates(orders: DataFrame) -> DataFrame:
     """Cancelled orders of the standard service level."""
-    return orders.filter(
-        F.lower("status").contains("cancelled") & (F.col("service_level") == "Standard")
-    ).select("row_id", "city", "state", "amount", "promotion_ids")
+    return orders.filter(_is_candidate()).select("row_id", "city", "state", "amount", "promotion_ids")
 
 
 def hot_promos(lifespans: DataFrame) -> DataFrame:
@@ -129,10 +132,31 @@ def city_share(orders: DataFrame) -> DataFrame:
     return _with_percentage(counts)
 
 
+def place_totals(orders: DataFrame) -> DataFrame:
+    """Per (state, city): number of candidates, and number and sum of the amounts behind the
+    state average.  One scan for two results that are small in states and cities."""
+    candidate, threshold = F.coalesce(_is_candidate(), F.lit(False)), F.coalesce(_in_threshold(), F.lit(False))
+    return (
+        orders.filter(candidate | threshold)
+        .groupBy("state", "city")
+        .agg(
+            F.count_if(candidate).alias("n_candidates"),
+            F.count(F.when(threshold, F.col("amount"))).alias("n_amounts"),
+            F.sum(F.when(threshold, F.col("amount"))).alias("sum_amount"),
+        )
+    )
+
+
+def threshold_of(places: DataFrame) -> DataFrame:
+    """`state_threshold` from `place_totals`, for the states that have an average."""
+    average = F.try_divide(F.sum("sum_amount"), F.sum("n_amounts"))
+    return places.filter("n_amounts > 0").groupBy("state").agg(average.alias("state_avg"))
+
+
 def candidates_city_share(
     candidates: DataFrame,
     lifespans: DataFrame,
-    thresholds: DataFrame,
+    places: DataFrame,
     min_days: int = MIN_ACTIVE_DAYS,
     min_valid: int = MIN_VALID_CODES,
     max_broadcast_rows: int = BROADCAST_ROWS,
@@ -140,31 +164,25 @@ def candidates_city_share(
     """`city_share` of the candidates, without the counts of the single orders.
 
     Only an order below the average of its state that names enough codes can qualify, so only the
-    codes of such orders are looked up, and only they are shuffled by order.  All others are
-    folded into a count per city where they are read.  ``lifespans`` and ``thresholds`` are staged.
+    codes of such orders are looked up and shuffled; all others are in the staged `place_totals`
+    already.  ``lifespans`` is a staged `promo_lifespan`.
     """
-    spread = _spread()
-    priced = lookup_join(
-        candidates.filter(present(F.col("city"))), thresholds, "state", spread, max_rows=max_broadcast_rows
-    )
-    enough = F.coalesce(F.array_size(_codes()), F.lit(0)) >= min_valid
-    eligible = F.coalesce(enough & (F.col("amount") < F.col("state_avg")), F.lit(False))
-    tokens = priced.select(
-        "row_id",
-        "city",
-        spread.alias("spread"),
-        eligible.alias("eligible"),
-        F.posexplode_outer(F.when(eligible, _codes())).alias("pos", "promo"),
-    )
-    order = F.when(F.col("eligible"), F.col("row_id")).alias("row_id")
-    counted = _match(tokens, F.col("spread"), lifespans, min_days, max_broadcast_rows).groupBy(order, "eligible", "city")
-    counts = (
-        counted.agg(F.count("is_valid").alias("n_valid"), F.count_if(_is_first()).alias("orders"))
-        .withColumn("qualified", F.when(F.col("eligible") & (F.col("n_valid") >= min_valid), F.col("orders")).otherwise(0))
+    if min_valid < 1:
+        raise ValueError("an order needs at least one code to qualify")
+    named = candidates.filter(present(F.col("city")) & (F.array_size(_codes()) >= min_valid))
+    priced = lookup_join(named, threshold_of(places), "state", _spread(), max_rows=max_broadcast_rows)
+    tokens = priced.filter("amount < state_avg").select("row_id", "city", F.explode(_codes()).alias("promo"))
+    matched = _match(tokens, F.xxhash64("row_id"), lifespans, min_days, max_broadcast_rows).filter("is_valid")
+    qualified = (
+        matched.groupBy("row_id", "city")
+        .agg(F.count("*").alias("n_valid"))
+        .filter(F.col("n_valid") >= min_valid)
         .groupBy("city")
-        .agg(F.sum("orders").alias("total_orders"), F.sum("qualified").alias("qualified_orders"))
+        .agg(F.count("*").alias("qualified_orders"))
     )
-    return _with_percentage(counts)
+    totals = places.filter(present(F.col("city")) & (F.col("n_candidates") > 0)).groupBy("city")
+    counts = totals.agg(F.sum("n_candidates").alias("total_orders")).join(qualified, "city", "left")
+    return _with_percentage(counts.withColumn("qualified_orders", F.coalesce("qualified_orders", F.lit(0))))
 
 
 def _with_percentage(counts: DataFrame) -> DataFrame:

@@ -65,10 +65,6 @@ def median_varieties(orders: DataFrame, min_rank: int = variety.MIN_RANK) -> Dat
     return medians.withColumn("month", month_text(F.col("month")))
 
 
-def _staged_lookups(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return stage(promos.promo_lifespan(orders), "lifespans"), stage(promos.state_threshold(orders), "thresholds")
-
-
 def qualified_orders(
     orders: DataFrame, min_days: int = promos.MIN_ACTIVE_DAYS, min_valid: int = promos.MIN_VALID_CODES
 ) -> DataFrame:
@@ -77,7 +73,8 @@ def qualified_orders(
     The code lifespans and state averages are staged: with their sizes known, neither a frequent
     code nor a busy state costs the orders a shuffle while the lookup is small.
     """
-    lifespans, thresholds = _staged_lookups(orders)
+    lifespans = stage(promos.promo_lifespan(orders), "lifespans")
+    thresholds = stage(promos.state_threshold(orders), "thresholds")
     counted = promos.with_valid_count(promos.cancelled_candidates(orders), lifespans, min_days)
     return promos.with_qualified(counted, thresholds, min_valid)
 
@@ -86,9 +83,9 @@ def cancelled_share(
     orders: DataFrame, min_days: int = promos.MIN_ACTIVE_DAYS, min_valid: int = promos.MIN_VALID_CODES
 ) -> DataFrame:
     """city, total_orders, qualified_orders, pct_cancelled, in the order of the city."""
-    lifespans, thresholds = _staged_lookups(orders)
-    candidates = promos.cancelled_candidates(orders)
-    return promos.candidates_city_share(candidates, lifespans, thresholds, min_days, min_valid)
+    lifespans = stage(promos.promo_lifespan(orders), "lifespans")
+    places = stage(promos.place_totals(orders), "places")
+    return promos.candidates_city_share(promos.cancelled_candidates(orders), lifespans, places, min_days, min_valid)
 
 
 def promo_percentiles(

@@ -74,7 +74,7 @@ def test_orders_without_id_stay_in_the_denominator(raw_orders):
     assert rows(reports.cancelled_share(frame)) == [("BLR", 6, 1, 16.6667), ("PANJIM", 1, 0, 0.0)]
 
 
-@pytest.mark.parametrize("min_valid", [0, 1, 2, 3, 4])
+@pytest.mark.parametrize("min_valid", [1, 2, 3, 4])
 def test_city_share_with_and_without_the_counts_of_orders(spark, golden, min_valid):
     _, frame = skewed_orders(spark, 300)
     frame = frame.withColumn("row_id", F.when(F.col("row_id") % 7 != 0, F.col("row_id")))
@@ -83,6 +83,11 @@ def test_city_share_with_and_without_the_counts_of_orders(spark, golden, min_val
         assert rows(reports.cancelled_share(orders_, min_valid=min_valid)) == rows(detailed)
 
 
+def test_city_share_needs_a_code(golden):
+    with pytest.raises(ValueError):
+        reports.cancelled_share(golden, min_valid=0)
+
+
 def skewed_orders(spark, n=900):
     """Orders where one code holds most uses, one state most orders, and many have no code."""
     rng = random.Random(5)
@@ -107,6 +112,9 @@ def test_broadcast_and_salted_lookups_agree_with_brute_force(spark):
     lifespans, thresholds = promos.promo_lifespan(frame), promos.state_threshold(frame)
     lifespans, thresholds = stage(lifespans, "lifespans"), stage(thresholds, "thresholds")
 
+    places = stage(promos.place_totals(frame), "places")
+    assert rows(promos.threshold_of(places), "state") == rows(thresholds, "state")
+
     days, averages = {}, {}
     for row in data:
         for code in (c.strip() for c in (row[9] or "").split(",")):
@@ -132,7 +140,7 @@ def test_broadcast_and_salted_lookups_agree_with_brute_force(spark):
         flags = [flag for row_id, _, flag in expected if cities[row_id] == city]
         share.append((city, len(flags), sum(flags)))
     for limit in (10_000, 0):
-        by_city = promos.candidates_city_share(candidates, lifespans, thresholds, max_broadcast_rows=limit)
+        by_city = promos.candidates_city_share(candidates, lifespans, places, max_broadcast_rows=limit)
         assert rows(by_city, "city", "total_orders", "qualified_orders") == share
         counted = promos.with_valid_count(candidates, lifespans, max_broadcast_rows=limit)
         flagged = promos.with_qualified(counted, thresholds, max_broadcast_rows=limit)
