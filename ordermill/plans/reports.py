@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.values import month_text
 from ordermill.operators import cleaning, percentiles, promos, variety, windows
 from ordermill.schema import CITY_FIXES, DATE_PATTERN
-from ordermill.session import stage
+from ordermill.session import stage, stage_all
 
 
 def spell_states(
@@ -73,8 +73,9 @@ def qualified_orders(
     The code lifespans and state averages are staged: with their sizes known, neither a frequent
     code nor a busy state costs the orders a shuffle while the lookup is small.
     """
-    lifespans = stage(promos.promo_lifespan(orders), "lifespans")
-    thresholds = stage(promos.state_threshold(orders), "thresholds")
+    lifespans, thresholds = stage_all(
+        lifespans=promos.promo_lifespan(orders), thresholds=promos.state_threshold(orders)
+    )
     counted = promos.with_valid_count(promos.cancelled_candidates(orders), lifespans, min_days)
     return promos.with_qualified(counted, thresholds, min_valid)
 
@@ -83,8 +84,7 @@ def cancelled_share(
     orders: DataFrame, min_days: int = promos.MIN_ACTIVE_DAYS, min_valid: int = promos.MIN_VALID_CODES
 ) -> DataFrame:
     """city, total_orders, qualified_orders, pct_cancelled, in the order of the city."""
-    lifespans = stage(promos.promo_lifespan(orders), "lifespans")
-    places = stage(promos.place_totals(orders), "places")
+    lifespans, places = stage_all(lifespans=promos.promo_lifespan(orders), places=promos.place_totals(orders))
     return promos.candidates_city_share(promos.cancelled_candidates(orders), lifespans, places, min_days, min_valid)
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -60,6 +62,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(**frames: DataFrame) -> list[DataFrame]:
+    """`stage` several aggregates at once, so that the last tasks of one do not hold up the next."""
+    write = inheritable_thread_target(lambda item: stage(item[1], item[0]))
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(write, frames.items()))
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged, once its results have been written."""
     jvm = spark.sparkContext._jvm
