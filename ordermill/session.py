@@ -64,9 +64,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def stage_all(**frames: DataFrame) -> list[DataFrame]:
     """`stage` several aggregates at once, so that the last tasks of one do not hold up the next."""
-    write = inheritable_thread_target(lambda item: stage(item[1], item[0]))
-    with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(write, frames.items()))
+    labels, dfs = list(frames), list(frames.values())
+    # threads take over job group and scheduler pool, unless Python threads are not pinned to JVM threads
+    inherit = inheritable_thread_target(dfs[0].sparkSession)
+    write = inherit(stage) if callable(inherit) else stage
+    with ThreadPoolExecutor(len(dfs)) as pool:
+        return list(pool.map(write, dfs, labels))
 
 
 def drop_staged(spark: SparkSession) -> None:

@@ -167,3 +167,23 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert joined.count() == 2000
     assert rows(joined.groupBy("v").count()) == [(None, 499), (1, 1500), (2, 1)]
     assert SALTS > 1
+
+
+def test_salted_join_leaves_no_large_partition(spark):
+    from ordermill.operators.lookup import salted_join
+
+    # a third of the rows has the hot key, a third no key
+    key = F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
+    frame = spark.range(30_000).select(key.alias("k"), "id")
+    lookup = spark.createDataFrame([("HOT", 1), ("1600", 2)], "k string, v int")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = salted_join(frame, lookup, "k", F.xxhash64("id"), lookup.filter("v = 1").select("k"))
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(sizes) == 4 and sum(sizes) == 30_000 and max(sizes) < 1.3 * 30_000 / 4

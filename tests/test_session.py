@@ -1,0 +1,48 @@
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from ordermill import session
+
+
+def fake(master, conf=None, checkpoint=None):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint, applicationId="app-1")
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf or default), sparkContext=context)
+
+
+def test_shared_folder_is_the_one_the_session_names():
+    assert session.shared_folder(fake("yarn", "hdfs://shared/tmp/")) == "hdfs://shared/tmp"
+    assert session.shared_folder(fake("yarn", None, "hdfs://set-later")) == "hdfs://set-later"
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(fake("spark://host:7077"))
+
+
+def test_a_local_master_may_use_a_temporary_folder():
+    folder = session.shared_folder(fake("local[2]"))
+    assert folder == session.shared_folder(fake("local[4]"))
+
+
+def test_folders_are_fresh_and_belong_to_the_application():
+    spark = fake("yarn", "hdfs://shared")
+    first, second = session.new_folder(spark, "x"), session.new_folder(spark, "x")
+    assert first != second and first.startswith("hdfs://shared/ordermill-app-1/x-")
+
+
+def test_stage_cuts_the_lineage_and_keeps_the_schema(spark):
+    frame = spark.range(10).groupBy((F.col("id") % 3).alias("k")).agg(F.count("*").alias("n"))
+    staged = session.stage(frame, "test")
+    assert rows(staged) == rows(frame) and staged.columns == frame.columns
+    assert "Aggregate" not in staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stage_all_keeps_the_order_and_raises_what_fails(spark):
+    a, b = session.stage_all(a=spark.range(3), b=spark.range(5))
+    assert (a.count(), b.count()) == (3, 5)
+    broken = spark.range(1).select(F.raise_error(F.lit("broken aggregate")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="broken aggregate"):
+        session.stage_all(a=spark.range(3), b=broken)
