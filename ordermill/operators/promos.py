@@ -19,7 +19,7 @@ HOT_SHARE = 1000
 def promo_lifespan(orders: DataFrame) -> DataFrame:
     """First and last day, days between and number of uses (n_tokens) of every promotion code."""
     return (
-        orders.filter(F.col("order_date").isNotNull())
+        orders.filter(F.col("order_date").isNotNull() & F.col("promotion_ids").isNotNull())
         .select("order_date", F.explode(code_list(F.col("promotion_ids"))).alias("entry"))
         .select("order_date", code_name(F.col("entry")).alias("promo"))
         .filter(F.col("promo").isNotNull())
@@ -135,7 +135,7 @@ def city_share(orders: DataFrame) -> DataFrame:
 def place_totals(orders: DataFrame) -> DataFrame:
     """Per (state, city): number of candidates, and number and sum of the amounts behind the
     state average.  One scan for two results that are small in states and cities."""
-    candidate, threshold = F.coalesce(_is_candidate(), F.lit(False)), F.coalesce(_in_threshold(), F.lit(False))
+    candidate, threshold = _is_candidate(), _in_threshold()
     return (
         orders.filter(candidate | threshold)
         .groupBy("state", "city")
@@ -169,7 +169,8 @@ def candidates_city_share(
     """
     if min_valid < 1:
         raise ValueError("an order needs at least one code to qualify")
-    named = candidates.filter(present(F.col("city")) & (F.array_size(_codes()) >= min_valid))
+    complete = present(F.col("city")) & F.col("promotion_ids").isNotNull() & F.col("amount").isNotNull()
+    named = candidates.filter(complete & (F.array_size(_codes()) >= min_valid))
     priced = lookup_join(named, threshold_of(places), "state", _spread(), max_rows=max_broadcast_rows)
     tokens = priced.filter("amount < state_avg").select("row_id", "city", F.explode(_codes()).alias("promo"))
     matched = _match(tokens, F.xxhash64("row_id"), lifespans, min_days, max_broadcast_rows).filter("is_valid")

@@ -28,16 +28,16 @@ def _shipped() -> Column:
 
 
 def _in_volume() -> Column:
-    return _shipped() & (F.col("whole_qty") > 0)
+    return F.coalesce(F.col("whole_qty") > 0, F.lit(False))
 
 
 def _in_window() -> Column:
-    return _shipped() & is_positive(F.col("qty")) & present(F.col("size")) & F.col("order_date").isNotNull()
+    return F.coalesce(is_positive(F.col("qty")), F.lit(False)) & present(F.col("size")) & F.col("order_date").isNotNull()
 
 
 def shipped_orders(orders: DataFrame) -> DataFrame:
     """The orders that count for windows: shipped, positive quantity, with state, size and date."""
-    return orders.filter(_in_window()).select("state", "order_date", "size", "qty")
+    return orders.filter(_shipped() & _in_window()).select("state", "order_date", "size", "qty")
 
 
 def daily_totals(orders: DataFrame) -> DataFrame:
@@ -46,16 +46,15 @@ def daily_totals(orders: DataFrame) -> DataFrame:
     Volume and windows have different conditions.  Orders that count for the volume only (no
     size or date) land in the row of their state whose date and size are null, with n = 0.
     """
-    volume, window = F.coalesce(_in_volume(), F.lit(False)), F.coalesce(_in_window(), F.lit(False))
-    qty = F.when(window, F.col("qty"))
+    volume, window = _in_volume(), _in_window()
     return (
-        orders.filter(volume | window)
+        orders.filter(_shipped() & (volume | window))
         .select(
             "state",
             F.when(window, F.col("order_date")).alias("order_date"),
             F.when(window, F.col("size")).alias("size"),
             volume.alias("volume"),
-            qty.alias("qty"),
+            F.when(window, F.col("qty")).alias("qty"),
         )
         .groupBy("state", "order_date", "size")
         .agg(
@@ -69,7 +68,7 @@ def daily_totals(orders: DataFrame) -> DataFrame:
 
 def shipped_state_volume(orders: DataFrame) -> DataFrame:
     """Number of shipped orders per state."""
-    return orders.filter(_in_volume()).groupBy("state").agg(F.count("*").alias("n_orders"))
+    return orders.filter(_shipped() & _in_volume()).groupBy("state").agg(F.count("*").alias("n_orders"))
 
 
 def volume_of(daily: DataFrame) -> DataFrame:
