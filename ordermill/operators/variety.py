@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.text import present, size_rank
 from ordermill.functions.values import month_of
+from ordermill.schema import SIZES
 
 MIN_RANK = 6  # XXL
 
@@ -15,7 +16,7 @@ def sku_max_rank(orders: DataFrame) -> DataFrame:
     """Largest size rank of each sku per (month, state, style); unknown sizes do not count."""
     complete = present(F.col("state")) & present(F.col("style")) & present(F.col("sku"))
     return (
-        orders.filter(complete & F.col("order_date").isNotNull())
+        orders.filter(complete & F.col("order_date").isNotNull() & F.col("size").isin(SIZES))
         .select(
             month_of(F.col("order_date")).alias("month"),
             "state",
@@ -23,7 +24,6 @@ def sku_max_rank(orders: DataFrame) -> DataFrame:
             "sku",
             size_rank(F.col("size")).alias("rank"),
         )
-        .filter("rank > 0")
         .groupBy("month", "state", "style", "sku")
         .agg(F.max("rank").alias("max_rank"))
     )
