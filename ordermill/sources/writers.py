@@ -56,5 +56,7 @@ def _copy_part(spark: SparkSession, folder: str, target: str) -> None:
     path = jvm.org.apache.hadoop.fs.Path
     source, destination = path(folder), path(target)
     source_fs, target_fs = source.getFileSystem(conf), destination.getFileSystem(conf)
+    if target_fs.exists(destination) and target_fs.getFileStatus(destination).isDirectory():
+        raise ValueError(f"{target} is a folder")
     part = source_fs.globStatus(path(source, "part-*"))[0].getPath()
     jvm.org.apache.hadoop.fs.FileUtil.copy(source_fs, part, target_fs, destination, False, True, conf)

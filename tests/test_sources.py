@@ -119,3 +119,9 @@ def test_flat_file_refuses_a_large_result(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown format"):
         writers.write_flat_file(spark.range(1), str(tmp_path / "out.orc"), "orc")
     assert not (tmp_path / "out.parquet").exists()
+
+
+def test_flat_file_does_not_go_into_a_folder(spark, tmp_path):
+    with pytest.raises(ValueError, match="is a folder"):
+        writers.write_flat_file(spark.range(1), str(tmp_path))
+    assert list(tmp_path.iterdir()) == []
