@@ -22,10 +22,12 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Further candidates, which count only if the classifier accepts them.
+# Further candidates, which count only if they pass the same checks and the classifier accepts them:
+# written-out addresses, and numbers that the base pattern runs together with a neighbour and drops.
 EXTRA = {
     "email": rf"(?i)(?<!{LOCAL}){LOCAL}++\x20?[\[(](?:at|@)[\])]\x20?[A-Z0-9-]++(?:(?:\.|\x20?[\[(](?:dot|\.)[\])]\x20?)[A-Z0-9-]++)++",
-    "phone": r"(?<![0-9A-Za-z+.-])(?:00[1-9][0-9]{0,2}[\x20.-])?\(?[0-9]{2,4}\)?[\x20./-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])",
+    "card": r"(?<![0-9A-Za-z.+-])(?:[0-9]{12,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3})(?![0-9A-Za-z]|[.-][0-9])",
+    "phone": r"\+(?:1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}|[2-9][0-9]{0,2}[\x20.-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[\x20.-][0-9]{2,4}){1,4})(?![0-9])",
 }
 HINT = {"email": "@", "phone": "+"}  # a text without it cannot match the base pattern
 
@@ -128,7 +130,7 @@ def votes(spans: DataFrame) -> DataFrame:
     plain = F.regexp_replace(F.lower(value), r"\x20?[\[(](dot|\.)[\])]\x20?", ".")
     return spans.withColumns(
         {
-            "format": _vote(F.col("valid") & F.col("base"), ~F.col("valid")),
+            "format": _vote(F.col("valid"), ~F.col("valid")),
             "gazetteer": F.when(kind == "email", _vote(plain.rlike(rf"\.({DOMAINS})$"), plain.rlike(r"\.[0-9-]+$")))
             .when(kind == "ip", _vote(F.lit(False), value.rlike(SPECIAL)))
             .when(kind == "card", _vote(digits.rlike(f"^({ISSUERS})"), digits.rlike("^0")))
@@ -203,8 +205,8 @@ def _chance(weights: list[float]) -> Column:
 def find_spans(rows: DataFrame, accept: float = 0.5) -> DataFrame:
     """Spans of texts (_id, _body): _id, _text, kind, start, end, value, base, chance.
 
-    base: a valid match of a base pattern, which always stays.  Any other candidate stays if the
-    classifier gives it at least `accept` and no base span overlaps it.
+    base: a valid match of a base pattern, which always stays.  Any other candidate stays if it passes
+    the checks of its kind, the classifier gives it at least `accept` and no base span overlaps it.
     """
     spans = stage(votes(candidates(rows)), "pii-candidates")
     keys = ["kind", "base", *LABELERS]
@@ -214,7 +216,8 @@ def find_spans(rows: DataFrame, accept: float = 0.5) -> DataFrame:
     _, truth = estimate(patterns)
     weights = fit_classifier(table, [r["count"] for r in table], truth) if table else [0.0] * len(feature_names())
     sure = F.col("base") & F.col("valid")
-    kept = spans.withColumn("chance", _chance(weights)).where(sure | (F.col("chance") >= accept)).withColumn("sure", sure)
+    kept = spans.withColumn("chance", _chance(weights)).where(sure | (F.col("valid") & (F.col("chance") >= accept)))
+    kept = kept.withColumn("sure", sure)
     # furthest end of base spans that start before, nearest start of those after
     near = Window.partitionBy("_id", "_text")
     ends = F.max(F.when(F.col("sure"), F.col("end"))).over(near.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))

@@ -1,0 +1,130 @@
+"""Every registered query on the smallest tables, SQL where there is some, and the pipeline's stages."""
+
+import re
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+import pytest
+
+import brute
+import corpus_pipeline
+from ordermill.llm.common import stage, table
+from ordermill.llm.oracles import ORACLES
+from ordermill.llm.queries import QUERIES
+
+FOLDER = Path("/root/testdata/sf0.001")
+NATIVE = ["op3_licenses", "op5_decontaminate", "op7_pii"]
+
+pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="needs the test tables")
+
+COLUMNS = {
+    "op1_shards": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op2_language": ["doc_id", "held_out", "lang_pred", "score"],
+    "op4_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op5_decontaminate": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op7_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op8_embeddings": ["vec_id", "n_links", "component_id", "kept"],
+    "op9_simhash": ["doc_id", "fingerprint", "component_id"],
+}
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    return {name: stage(query(spark, str(FOLDER)), f"test-{name}") for name, query in QUERIES.items()}
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for path in FOLDER.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return [(r.doc_id, r.text) for r in table(spark, str(FOLDER), "documents").select("doc_id", "text").collect()]
+
+
+def test_names_and_columns(results):
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11))
+    for name, columns in COLUMNS.items():
+        assert results[name].columns[: len(columns)] == columns
+
+
+def test_every_row_is_in_the_result(results, documents):
+    for name in QUERIES:
+        if name not in ("op6_packing", "op8_embeddings"):
+            assert results[name].count() == len(documents), name
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(results, sql, name):
+    got, expected = results[name].toPandas(), sql.sql(ORACLES[name]).df()
+    columns = sorted(got.columns)
+    assert columns == sorted(expected.columns)
+    got, expected = (f[columns].sort_values("doc_id").reset_index(drop=True) for f in (got, expected))
+    pd.testing.assert_frame_equal(got, expected, check_exact=True, check_dtype=False)
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_plans_hold_no_python(spark, name):
+    plan = QUERIES[name](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoopJoin", plan)
+
+
+def test_fingerprints(results, documents):
+    got = results["op9_simhash"].collect()
+    assert Counter(tuple(r) for r in got) == Counter(brute.simhash(documents))
+
+
+def test_held_out_accuracy(results, sql):
+    lang = dict(sql.sql("SELECT doc_id, lang FROM documents").fetchall())
+    held = [r for r in results["op2_language"].collect() if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
+def test_pipeline_stages(spark, documents):
+    docs = table(spark, str(FOLDER), "documents")
+    columns = docs.columns
+    benchmark = [(r.item_id, r.text) for r in table(spark, str(FOLDER), "benchmark").collect()]
+    pairs = lambda df: Counter((r.doc_id, r.text) for r in df.select("doc_id", "text").collect())
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_duplicates", "decontaminate", "packing"]
+    for name, step in corpus_pipeline.STAGES:
+        before = pairs(docs)
+        docs = stage(step(spark, docs, str(FOLDER)), f"test-stage-{name}")
+        if name != "packing":
+            assert docs.columns == columns
+            after, held = pairs(docs), sorted(before.elements())
+        if name == "language":
+            lettered = Counter({p: n for p, n in before.items() if any(c.isalpha() for c in p[1] or "")})
+            assert after == lettered  # on these tables every text with a letter is prose
+        elif name == "lines":
+            assert after == Counter((d, t) for d, t, _ in brute.lines_kept(held))
+            assert all(r.n_chars == len(r.text) for r in docs.collect())
+        elif name == "near_duplicates":
+            groups = {d: c for d, _, c in brute.simhash(held)}
+            assert after == Counter((d, t) for d, t in held if groups[d] == d)
+        elif name == "decontaminate":
+            marks = brute.contaminated(held, benchmark)
+            assert after == Counter(p for p, mark in zip(held, marks) if not mark[5]) and sum(m[5] for m in marks)
+        else:
+            assert {r.doc_id for r in docs.select("doc_id").collect()} == {d for d, _ in before}
+
+
+def test_pipeline_runs(spark):
+    assert corpus_pipeline.run(spark, str(FOLDER)).count() > 50
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_rows_and_empty_tables(spark, make_docs, odd_pairs, name):
+    step = dict(corpus_pipeline.STAGES)[name]
+    for pairs in (odd_pairs, []):
+        docs = make_docs(pairs)
+        if name == "language":
+            docs = docs.selectExpr("doc_id", "text", "if(doc_id % 2 = 0, 'xx', null) lang", "source", "n_chars", "_id", "score")
+        got = step(spark, docs, str(FOLDER))
+        assert name == "packing" or got.columns == docs.columns
+        assert (got.count() > 0) == bool(pairs)

@@ -1,0 +1,67 @@
+import heapq
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from ordermill.llm.sharding import longest_first, shard_documents
+
+
+def plain(classes, shards):
+    heap, counts = [(0.0, s) for s in range(shards)], defaultdict(int)
+    for size, groups, total in sorted(classes, reverse=True):
+        for _ in range(groups):
+            load, shard = heapq.heappop(heap)
+            counts[size, shard] += 1
+            heapq.heappush(heap, (load + total / groups, shard))
+    return dict(counts)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_longest_first_equals_the_heap(seed):
+    rng = random.Random(seed)
+    sizes = rng.sample(range(1, 400), rng.randint(1, 30))
+    classes = [(s, n, s * n) for s in sizes for n in [rng.choice([1, 2, 7, 60, 500])]]
+    shards = rng.randint(1, 17)
+    runs = longest_first(classes, shards)
+    got = defaultdict(int)
+    for size, first, end, shard in runs:
+        got[size, shard] += end - first
+    assert dict(got) == plain(classes, shards)
+    for size, groups, _ in classes:
+        spans = sorted((f, e) for s, f, e, _ in runs if s == size)
+        assert spans[0][0] == 0 and spans[-1][1] == groups and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def check(docs, rows, shards):
+    assert sorted(((r.doc_id is None, r.doc_id or 0, r.size, r.text_crc32) for r in rows), key=str) == sorted(
+        ((d is None, d or 0, len((t or "").encode()) + 1, None if t is None else zlib.crc32(t.encode())) for d, t in docs), key=str
+    )
+    slots = defaultdict(list)
+    for r in rows:
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < shards
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    shard_of = defaultdict(set)
+    for r in rows:
+        shard_of[r.text_crc32, r.size].add(r.shard)
+    assert all(len(s) == 1 for s in shard_of.values())
+
+
+def test_odd_rows(make_docs, odd_pairs):
+    check(odd_pairs, shard_documents(make_docs(odd_pairs), 4).collect(), 4)
+
+
+def test_empty_table(make_docs):
+    assert shard_documents(make_docs([]), 4).count() == 0
+
+
+def test_sizes_are_near_equal_beside_a_hot_group(make_docs):
+    pairs = [(i, "hot copy") for i in range(300)] + [(1000 + i, f"{i:04d}" + "x" * (i % 37)) for i in range(900)]
+    rows = shard_documents(make_docs(pairs), 8).collect()
+    check(pairs, rows, 8)
+    loads = defaultdict(int)
+    for r in rows:
+        loads[r.shard] += r.size
+    assert max(loads.values()) - min(loads.values()) <= 5
