@@ -66,7 +66,8 @@ def dedup_lines(docs: DataFrame, lines: int = 3, doc_id: str = "doc_id", text: s
     removed = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["_end"] - s["_start"])
     shorter = F.when(spans.isNull(), docs[text]).otherwise(_kept_lines(split, spans)).alias(text)
     counts = {"lines_removed": F.coalesce(removed, F.lit(0)), "lines_total": F.when(docs[text].isNull(), 0).otherwise(F.size(split))}
-    return docs.join(cuts, same, "left").select(
+    # the hint keeps one plan at every size: texts and cuts are dealt by id, skew split at run time
+    return docs.join(cuts.hint("merge"), same, "left").select(
         *[shorter if c == text else docs[c] for c in docs.columns if c not in counts],
         *[value.cast("long").alias(name) for name, value in counts.items()],
     )
