@@ -10,6 +10,7 @@ from ordermill.llm.common import ascii_lower, merged_spans, stage, text_id
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # once A-Z are lower case
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # as written
 SHINGLE = 3
+BLOCK = 100_000  # windows that one pass over the documents looks up, about 10 MB
 
 
 def words_of(text: Column) -> Column:
@@ -36,48 +37,63 @@ def window_shingles(windows: DataFrame, length: int) -> DataFrame:
     return each.withColumn("shingle", _shingle(F.col("words"), F.col("offset"), length))
 
 
-def shingle_hits(docs: DataFrame, shingles: DataFrame, length: int, window: int) -> DataFrame:
-    """Where documents hold one of `shingles`: _id, _text, pos, shingle, and the words around.
+def shingle_places(docs: DataFrame, length: int, window: int) -> DataFrame:
+    """Every shingle of every document: _id, _text, pos, shingle, and the words around it.
 
     near holds the words from pos - lead on, as many as a window at any offset can reach.  The words
-    of a text are made once; place, hash and look-up stay in one generated loop.
+    of a text are made once; place, hash and look-up stay in one generated loop, which cuts `near`
+    out only for a shingle that it finds.
     """
     held = docs.select("_id", text_id(F.col("_body")).alias("_text"), words_of(F.col("_body")).alias("_words"))
     starts = F.when(F.size("_words") >= length, F.sequence(F.lit(0), F.size("_words") - length))
     each = held.select("_id", "_text", "_words", F.explode_outer(starts).alias("pos"))
-    each = each.withColumn("shingle", _shingle(F.col("_words"), F.col("pos"), length)).where("pos is not null")
     lead = F.least(F.col("pos"), F.lit(window - 1))
-    near = F.slice("_words", F.col("pos") - lead + 1, lead + window)
-    return each.join(shingles.select("shingle").distinct(), "shingle", "left_semi").select(
-        "_id", "_text", "pos", "shingle", lead.alias("lead"), near.alias("near")
-    )
+    return each.select(
+        "_id",
+        "_text",
+        "pos",
+        _shingle(F.col("_words"), F.col("pos"), length).alias("shingle"),
+        lead.alias("lead"),
+        F.slice("_words", F.col("pos") - lead + 1, lead + window).alias("near"),
+    ).where("pos is not null")
+
+
+def _occurrences(docs: DataFrame, own: DataFrame, length: int, window: int) -> DataFrame:
+    """Occurrences of a bounded block of windows whose shingles have `length` words."""
+    places = shingle_places(docs, length, window)
+    shingles = stage(window_shingles(own, length), "leak-shingles")
+    held = places.select("shingle").join(F.broadcast(shingles.select("shingle").distinct()), "shingle", "left_semi")
+    counts = stage(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("uses")), "leak-counts")
+    # containment needs all shingles, so one is a sufficient prefix: the rarest in the corpus
+    rarest = F.min(F.struct("uses", "shingle", "offset"))
+    prefix = shingles.join(counts, "shingle", "left").na.fill(0, ["uses"]).groupBy("words", "n").agg(rarest.alias("p"))
+    prefix = stage(prefix.where("p.uses > 0").select("words", "n", "p.shingle", "p.offset"), "leak-prefix")
+    start = F.col("pos") - F.col("offset")
+    first = F.col("lead") - F.col("offset") + 1
+    fits = (F.col("lead") >= F.col("offset")) & (F.size("near") >= first - 1 + F.col("n"))
+    same = F.slice("near", F.greatest(first, F.lit(1)), F.col("n")) == F.col("words")
+    found = places.join(F.broadcast(prefix), "shingle").where(fits & same)
+    return found.select("_id", "_text", start.alias("start"), (start + F.col("n")).alias("end"), "words")
 
 
 def occurrences(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
-    """Every occurrence of a window in a document: _id, _text, start, end, words."""
-    distinct = windows.select("words", "n").distinct()
+    """Every occurrence of a window in a document: _id, _text, start, end, words.
+
+    Windows are looked up in blocks of at most BLOCK, each broadcast: item tables of any size keep
+    that bound and cost more scans of the documents.  Windows of fewer words than a shingle are
+    shingles of their own length.
+    """
+    length = F.least("n", F.lit(SHINGLE)).alias("length")
+    distinct = stage(windows.select("words", "n", length).distinct(), "leak-distinct")
     id_type = docs.schema["_id"].dataType.simpleString()
     schema = f"_id {id_type}, _text long, start int, end int, words array<string>"
     found = docs.sparkSession.createDataFrame([], schema)
-    for length in range(1, SHINGLE + 1):
-        # windows of fewer words than a shingle are shingles of their own length
-        own = distinct.where(F.least("n", F.lit(SHINGLE)) == length)
-        if own.isEmpty():
-            continue
-        shingles = stage(window_shingles(own, length), "leak-shingles")
-        hits = stage(shingle_hits(docs, shingles, length, window), "leak-hits")
-        counts = hits.groupBy("shingle").agg(F.count(F.lit(1)).alias("uses"))
-        # containment needs all shingles, so one is a sufficient prefix: the rarest in the corpus
-        rarest = F.min(F.struct("uses", "shingle", "offset"))
-        prefix = shingles.join(counts, "shingle", "left").na.fill(0, ["uses"]).groupBy("words", "n").agg(rarest.alias("p"))
-        prefix = stage(prefix.where("p.uses > 0").select("words", "n", "p.shingle", "p.offset"), "leak-prefix")
-        start = F.col("pos") - F.col("offset")
-        first = F.col("lead") - F.col("offset") + 1
-        fits = (F.col("lead") >= F.col("offset")) & (F.size("near") >= first - 1 + F.col("n"))
-        same = F.slice("near", F.greatest(first, F.lit(1)), F.col("n")) == F.col("words")
-        part = hits.join(prefix, "shingle").where(fits & same)
-        part = part.select("_id", "_text", start.alias("start"), (start + F.col("n")).alias("end"), "words")
-        found = found.unionByName(part)
+    for r in sorted(distinct.groupBy("length").count().collect()):  # SHINGLE rows at most
+        blocks = -(-r["count"] // BLOCK)
+        for block in range(blocks):
+            mine = F.pmod(F.xxhash64("words"), F.lit(blocks)) == block
+            own = distinct.where((F.col("length") == r["length"]) & mine).select("words", "n")
+            found = found.unionByName(_occurrences(docs, own, r["length"], window))
     return found
 
 
@@ -101,7 +117,6 @@ def mark_contaminated(
     The join: shingles of three words (or of a shorter window's length) of all documents are looked
     up among those of the items; their counts order the shingles by rarity, and only the rarest of a
     window makes candidates.  Offset and window length bound where it can start; the words decide.
-    The item side is joined without a hint: the planner broadcasts it by its measured size or merges.
 
     Null and empty texts have no words; items without words match nothing, items without id mark
     words without being listed; an id repeated among items counts once.  Repeated rows and null ids
