@@ -101,7 +101,7 @@ def _cosines(segments: DataFrame, idf: dict[str, float], unseen: float, scaled,
 def scan_licenses(
     files: DataFrame,
     least: float = 0.7,
-    least_file: float = 0.4,
+    least_file: float = 0.6,
     templates: dict[str, list[str]] | None = None,
     doc_id: str = "doc_id",
     path: str = "path",

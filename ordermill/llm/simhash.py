@@ -105,14 +105,14 @@ def _block_edges(most: int):
 def block_keys(fp: Column, most: int) -> Column:
     """Every choice of equal blocks as a hashed key.
 
-    The 64 bits are cut into 2 * `most` blocks (4 at least).  Fingerprints that differ in at most
-    `most` bits agree on at least half of the blocks, so they share the key of some choice.
+    The 64 bits are cut into `most` + 3 blocks.  Fingerprints that differ in at most `most` bits
+    agree on three of them at least, so they share the key of some choice of three.
     """
-    count = max(2 * most, 4)
+    count = most + 3
     cuts = np.linspace(0, 64, count + 1).astype(int)
     masks = [((1 << int(b - a)) - 1) << int(a) for a, b in zip(cuts[:-1], cuts[1:])]
     keys = []
-    for number, chosen in enumerate(combinations(masks, count - most)):
+    for number, chosen in enumerate(combinations(masks, 3)):
         mask = sum(chosen)
         signed = mask - (1 << 64) if mask >= 1 << 63 else mask
         keys.append(F.xxhash64(F.lit(number), fp.bitwiseAND(F.lit(signed))))

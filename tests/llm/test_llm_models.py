@@ -115,18 +115,19 @@ def test_quality_without_labels(judged):
     assert quality.score_quality(docs.limit(0), labels).count() == 0
 
 
+CODE = "import sys\nfor name in sys.argv:\n    print(open(name).read(), end=name * 2, file=out)\n"
 FILES = [
     (1, "a/LICENSE", "\n".join(licenses.TEMPLATES["MIT"][:2])),
     (2, "a/b/x.py", "import os\n# nothing here"),
-    (3, "a/b/y.py", "# Licensed under the Apache License, Version 2.0.\nimport sys"),
+    (3, "a/b/y.py", "# Licensed under the Apache License, Version 2.0.\n" + CODE),
     (4, "a/b/c/z.py", None),
     (5, "a/d/COPYING", "Licensed under CC BY-NC 4.0."),
     (6, "a/d/e/f/g.txt", "plain words about a free tree"),
     (7, "top.txt", "no licence above the root"),
     (8, None, "released under the mit license"),
     (9, None, ""),
-    (10, "a/b/y.py", "# Licensed under the Apache License, Version 2.0.\nimport sys"),
-    (10, "a/b/y.py", "# Licensed under the Apache License, Version 2.0.\nimport sys"),
+    (10, "a/b/y.py", "# Licensed under the Apache License, Version 2.0.\n" + CODE),
+    (10, "a/b/y.py", "# Licensed under the Apache License, Version 2.0.\n" + CODE),
     (11, "q/long.txt", "free software under the public house " * 9000 + "\nReleased under the MIT License."),
     (None, "q/r.txt", "Released under\nthe MIT License"),
 ]
@@ -170,7 +171,7 @@ def test_license_scores_equal_plain_cosines(spark):
         text = next(t for d, p, t in FILES if (d, p) == (r.doc_id, r.path))
         lines = max(best(line) for line in text.split("\n"))
         whole = best(text)
-        reached = [s for s, at_least in ((lines, 0.7), (whole, 0.4)) if s[0] >= at_least]
+        reached = [s for s, at_least in ((lines, 0.7), (whole, 0.6)) if s[0] >= at_least]
         assert math.isclose(r.score, max(reached)[0], abs_tol=2e-6)
 
 
