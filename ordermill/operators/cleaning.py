@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.text import trim_unicode
-from ordermill.operators.lookup import lookup_join
 from ordermill.schema import CITY_FIXES, MISSING_MARKERS, STATE_ALIASES, STATES
 
 
@@ -31,7 +30,7 @@ def standard_spelling(df: DataFrame, column: str) -> DataFrame:
 def replace_aliases(df: DataFrame, column: str, aliases: DataFrame) -> DataFrame:
     """Replace the values listed in ``aliases`` (unique on ``alias``), keep all others."""
     lookup = aliases.select(F.col("alias").alias(column), F.col("canon").alias("_canon"))
-    joined = lookup_join(df, lookup, column, F.xxhash64("*"))
+    joined = df.join(lookup, column, "left")
     return joined.select(*[F.coalesce("_canon", c).alias(c) if c == column else c for c in df.columns])
 
 

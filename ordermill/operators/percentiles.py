@@ -157,6 +157,17 @@ def compared_percentiles(
     return with_differences(stddev_above(bins, cuts), probabilities)
 
 
+def compared_levels(
+    prepared: DataFrame, others: Sequence[float], probabilities: Sequence[float] = PROBABILITIES
+) -> DataFrame:
+    """Exact results at ``others`` in the place of the approximate ones, against ``probabilities``."""
+    approx, exact = cut_names("approx", probabilities), cut_names("exact", probabilities)
+    bins = with_exact_thresholds(promo_bins(prepared), others)
+    bins = bins.withColumnsRenamed(dict(zip(cut_names("exact", others), approx)))
+    bins = with_exact_thresholds(bins, probabilities)
+    return with_differences(stddev_above(bins, approx + exact), probabilities)
+
+
 def difference_report(compared: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Groups in all, and number and percentage of those whose P90 threshold or deviation differ."""
     thresh, stddev = F.col("p90_thresh_diff") > tolerance, F.col("p90_stddev_diff") > tolerance

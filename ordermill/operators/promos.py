@@ -7,14 +7,10 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.text import code_list, code_name, present
 from ordermill.functions.values import percentage
-from ordermill.operators.lookup import BROADCAST_ROWS, lookup_join
 
 MIN_ACTIVE_DAYS = 2
 MIN_VALID_CODES = 3
 
-# A code is hot when it holds one in this many uses or more, so there are at most as many.
-HOT_SHARE = 1000
-
 
 def promo_lifespan(orders: DataFrame) -> DataFrame:
     """First and last day, days between and number of uses (n_tokens) of every promotion code."""
@@ -57,68 +53,43 @@ def cancelled_candidates(orders: DataFrame) -> DataFrame:
     return orders.filter(_is_candidate()).select("row_id", "city", "state", "amount", "promotion_ids")
 
 
-def hot_promos(lifespans: DataFrame) -> DataFrame:
-    """The codes that hold a large share of all uses."""
-    uses = lifespans.agg(F.sum("n_tokens")).first()[0] or 0
-    return lifespans.filter(F.col("n_tokens") * HOT_SHARE >= uses).select("promo")
-
-
-def _spread() -> Column:
-    return F.xxhash64("row_id", "city", "amount")
-
-
-def _codes() -> Column:
-    return F.when(F.col("row_id").isNotNull(), code_list(F.col("promotion_ids")))
-
-
-def _is_first() -> Column:
-    """True on one row of each order: its first code, or its only row when it has none."""
-    return F.coalesce("pos", F.lit(0)) == 0
-
+def valid_uses(candidates: DataFrame, lifespans: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
+    """row_id, n_valid: the uses of valid codes per order id; a repeated code counts each time.
 
-def _match(tokens: DataFrame, spread: Column, lifespans: DataFrame, min_days: int, max_rows: int) -> DataFrame:
-    """Add is_valid, which is null for an invalid code and for a blank list entry."""
-    tokens = tokens.withColumn("promo", code_name(F.col("promo")))
-    valid = valid_promos(lifespans, min_days).select("promo", F.lit(True).alias("is_valid"))
-    return lookup_join(tokens, valid, "promo", spread, lambda: hot_promos(lifespans), max_rows)
+    Uses are looked up by a plain join on the code.  The planner broadcasts the valid codes if their
+    staged size allows; else adaptive execution splits the uses of a frequent code over tasks.
+    """
+    uses = (
+        candidates.filter(F.col("row_id").isNotNull())
+        .select("row_id", F.explode(code_list(F.col("promotion_ids"))).alias("entry"))
+        .select("row_id", code_name(F.col("entry")).alias("promo"))
+        .filter(F.col("promo").isNotNull())
+    )
+    valid = valid_promos(lifespans, min_days).select("promo")
+    return uses.join(valid, "promo").groupBy("row_id").agg(F.count("*").alias("n_valid"))
 
 
-def with_valid_count(
-    candidates: DataFrame,
-    lifespans: DataFrame,
-    min_days: int = MIN_ACTIVE_DAYS,
-    max_broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Add n_valid, the number of valid codes of each order; a repeated code counts each time.
+def with_valid_count(candidates: DataFrame, lifespans: DataFrame, min_days: int = MIN_ACTIVE_DAYS) -> DataFrame:
+    """Add n_valid, the number of valid codes under the id of each order.
 
-    ``lifespans`` is a staged `promo_lifespan`.  The order's columns travel with its codes, so
-    counting needs one shuffle by order and no join back.  Orders without codes keep one row
-    with a null code; orders without ``row_id`` count as having none.
+    ``lifespans`` is a staged `promo_lifespan`.  Rows that share an id share the count.  Orders
+    without ``row_id`` have none; they pass by the join, whatever their number.
     """
-    tokens = candidates.select(
-        "row_id", "city", "state", "amount", F.posexplode_outer(_codes()).alias("pos", "promo")
-    )
-    matched = _match(tokens, _spread(), lifespans, min_days, max_broadcast_rows)
-    counted = matched.groupBy("row_id", "city", "state", "amount").agg(
-        F.count("is_valid").alias("n_valid"),
-        # rows equal in all four columns (possible without row_id) stay as many as they were
-        F.count_if(_is_first()).alias("copies"),
-    )
-    return counted.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies")
+    kept = candidates.select("row_id", "city", "state", "amount", "promotion_ids")
+    known = kept.filter(F.col("row_id").isNotNull()).drop("promotion_ids")
+    counted = known.join(valid_uses(candidates, lifespans, min_days), "row_id", "left")
+    counted = counted.withColumn("n_valid", F.coalesce("n_valid", F.lit(0).cast("long")))
+    unknown = kept.filter(F.col("row_id").isNull()).drop("promotion_ids")
+    return counted.unionByName(unknown.withColumn("n_valid", F.lit(0).cast("long")))
 
 
-def with_qualified(
-    counted: DataFrame,
-    thresholds: DataFrame,
-    min_valid: int = MIN_VALID_CODES,
-    max_broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def with_qualified(counted: DataFrame, thresholds: DataFrame, min_valid: int = MIN_VALID_CODES) -> DataFrame:
     """Add state_avg and the 0/1 flag qualified: enough valid codes and an amount below the average.
 
     ``thresholds`` is a staged `state_threshold`.  A missing amount or average does not qualify.
     """
     meets = (F.col("n_valid") >= min_valid) & (F.col("amount") < F.col("state_avg"))
-    joined = lookup_join(counted, thresholds, "state", _spread(), max_rows=max_broadcast_rows)
+    joined = counted.join(thresholds, "state", "left")
     return joined.withColumn("qualified", F.when(meets, 1).otherwise(0))
 
 
@@ -129,64 +100,6 @@ def city_share(orders: DataFrame) -> DataFrame:
         .groupBy("city")
         .agg(F.count("*").alias("total_orders"), F.sum("qualified").alias("qualified_orders"))
     )
-    return _with_percentage(counts)
-
-
-def place_totals(orders: DataFrame) -> DataFrame:
-    """Per (state, city): number of candidates, and number and sum of the amounts behind the
-    state average.  One scan for two results that are small in states and cities."""
-    candidate, threshold = _is_candidate(), _in_threshold()
-    return (
-        orders.filter(candidate | threshold)
-        .groupBy("state", "city")
-        .agg(
-            F.count_if(candidate).alias("n_candidates"),
-            F.count(F.when(threshold, F.col("amount"))).alias("n_amounts"),
-            F.sum(F.when(threshold, F.col("amount"))).alias("sum_amount"),
-        )
-    )
-
-
-def threshold_of(places: DataFrame) -> DataFrame:
-    """`state_threshold` from `place_totals`, for the states that have an average."""
-    average = F.try_divide(F.sum("sum_amount"), F.sum("n_amounts"))
-    return places.filter("n_amounts > 0").groupBy("state").agg(average.alias("state_avg"))
-
-
-def candidates_city_share(
-    candidates: DataFrame,
-    lifespans: DataFrame,
-    places: DataFrame,
-    min_days: int = MIN_ACTIVE_DAYS,
-    min_valid: int = MIN_VALID_CODES,
-    max_broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """`city_share` of the candidates, without the counts of the single orders.
-
-    Only an order below the average of its state that names enough codes can qualify, so only the
-    codes of such orders are looked up and shuffled; all others are in the staged `place_totals`
-    already.  ``lifespans`` is a staged `promo_lifespan`.
-    """
-    if min_valid < 1:
-        raise ValueError("an order needs at least one code to qualify")
-    complete = present(F.col("city")) & F.col("promotion_ids").isNotNull() & F.col("amount").isNotNull()
-    named = candidates.filter(complete & (F.array_size(_codes()) >= min_valid))
-    priced = lookup_join(named, threshold_of(places), "state", _spread(), max_rows=max_broadcast_rows)
-    tokens = priced.filter("amount < state_avg").select("row_id", "city", F.explode(_codes()).alias("promo"))
-    matched = _match(tokens, F.xxhash64("row_id"), lifespans, min_days, max_broadcast_rows).filter("is_valid")
-    qualified = (
-        matched.groupBy("row_id", "city")
-        .agg(F.count("*").alias("n_valid"))
-        .filter(F.col("n_valid") >= min_valid)
-        .groupBy("city")
-        .agg(F.count("*").alias("qualified_orders"))
-    )
-    totals = places.filter(present(F.col("city")) & (F.col("n_candidates") > 0)).groupBy("city")
-    counts = totals.agg(F.sum("n_candidates").alias("total_orders")).join(qualified, "city", "left")
-    return _with_percentage(counts.withColumn("qualified_orders", F.coalesce("qualified_orders", F.lit(0))))
-
-
-def _with_percentage(counts: DataFrame) -> DataFrame:
     share = percentage(F.col("qualified_orders"), F.col("total_orders"))
     return counts.withColumn("pct_cancelled", share).orderBy("city")
 

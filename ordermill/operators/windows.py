@@ -76,8 +76,13 @@ def volume_of(daily: DataFrame) -> DataFrame:
     return daily.groupBy("state").agg(F.sum("n_volume").alias("n_orders")).filter("n_orders > 0")
 
 
+def mean_volume(volume: DataFrame) -> float:
+    """The average shipped volume of the states, a cut-off that follows the data."""
+    return volume.agg(F.avg("n_orders")).first()[0] or 0.0
+
+
 def window_lengths(
-    volume: DataFrame, cutoff: int = VOLUME_CUTOFF, short: int = SHORT_DAYS, long: int = LONG_DAYS
+    volume: DataFrame, cutoff: float = VOLUME_CUTOFF, short: int = SHORT_DAYS, long: int = LONG_DAYS
 ) -> DataFrame:
     """Window length per state: ``short`` above the cut-off, else ``long``."""
     if min(short, long) < 1:
@@ -114,26 +119,21 @@ def with_variance(totals: DataFrame) -> DataFrame:
 def top_size(totals: DataFrame, tolerance: float = VARIANCE_TOLERANCE) -> DataFrame:
     """One size per (state, window_date): most orders, then least variance, then first by name.
 
-    Variances closer than ``tolerance`` to the least one count as equal.  The window frame holds
-    one row per size, and the aggregate reuses its partitioning.
+    Variances closer than ``tolerance`` to the least one count as equal.  A variance that is no
+    number (infinite quantities) loses against any that is one; if there is none, the name decides.
+    The window frame holds one row per size, and the aggregate reuses its partitioning.
     """
     group = Window.partitionBy("state", "window_date")
-    best = F.max(F.struct(F.col("n"), (-F.col("variance")).alias("steadiness"))).over(group)
+    steadiness = F.when(F.isnan("variance"), F.lit(float("-inf"))).otherwise(-F.col("variance"))
+    best = F.max(F.struct(F.col("n"), F.col("steadiness"))).over(group)
+    steady = (F.col("best.steadiness") - F.col("steadiness") < tolerance) | (
+        F.col("best.steadiness") == F.lit(float("-inf"))
+    )
     return (
         with_variance(totals)
+        .withColumn("steadiness", steadiness)
         .withColumn("best", best)
-        .filter((F.col("n") == F.col("best.n")) & (F.col("variance") + F.col("best.steadiness") < tolerance))
+        .filter((F.col("n") == F.col("best.n")) & steady)
         .groupBy("state", "window_date")
         .agg(F.min("size").alias("size"))
     )
-
-
-def top_size_whole(totals: DataFrame) -> DataFrame:
-    """`top_size` for whole-number quantities and fewer than 31,622 orders per row.
-
-    Under these bounds unequal variances differ by more than 1e-9, so one aggregate over exact
-    integers decides: n * sum_qty_sq - sum_qty^2 orders sizes of equal n by variance.
-    """
-    n, total, squares = (F.col(c).cast("long") for c in ("n", "sum_qty", "sum_qty_sq"))
-    order = F.struct((-n).alias("n"), (n * squares - total * total).alias("spread"), F.col("size").alias("size"))
-    return totals.groupBy("state", "window_date").agg(F.min(order).getField("size").alias("size"))

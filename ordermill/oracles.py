@@ -56,7 +56,8 @@ WINDOWS = f"""{SALES_LINE},
 volume AS (
   SELECT state, count(*) AS n_orders FROM sales_line
   WHERE lower(status) LIKE '%shipped%' AND qty > 0 AND state <> '' GROUP BY state),
-lengths AS (SELECT state, CASE WHEN n_orders > 1600 THEN 5 ELSE 10 END AS window_days FROM volume),
+lengths AS (
+  SELECT state, CASE WHEN n_orders > (SELECT avg(n_orders) FROM volume) THEN 5 ELSE 10 END AS window_days FROM volume),
 shipped AS (
   SELECT state, order_date, size, qty FROM sales_line
   WHERE lower(status) LIKE '%shipped%' AND qty > 0 AND state <> '' AND size <> '' AND order_date IS NOT NULL)"""
@@ -135,6 +136,25 @@ groups_found AS (
   SELECT cuts.sku, cuts."month", p90_thresh, p80_thresh, total_group_orders, p90_stddev, p80_stddev
   FROM cuts JOIN above ON cuts.sku = above.sku AND cuts."month" = above."month")"""
 
+# the median and the P20 in the place of the approximate P90 and P80
+LEVELS = f"""{PERCENTILES},
+low_cuts AS (
+  SELECT sku, "month",
+    max(CASE WHEN row_num = ceil(orders * CAST(0.5 AS DOUBLE)) THEN n_promos END) AS p90_thresh_approx,
+    max(CASE WHEN row_num = ceil(orders * CAST(0.2 AS DOUBLE)) THEN n_promos END) AS p80_thresh_approx
+  FROM ranked GROUP BY ALL),
+low_above AS (
+  SELECT prepared.sku, prepared."month", p90_thresh_approx, p80_thresh_approx,
+    coalesce(stddev_pop(amount) FILTER (n_promos >= p90_thresh_approx), 0.0) AS p90_stddev_approx,
+    coalesce(stddev_pop(amount) FILTER (n_promos >= p80_thresh_approx), 0.0) AS p80_stddev_approx
+  FROM prepared JOIN low_cuts ON prepared.sku = low_cuts.sku AND prepared."month" = low_cuts."month" GROUP BY ALL),
+levels AS (
+  SELECT groups_found.*, p90_thresh_approx, p80_thresh_approx, p90_stddev_approx, p80_stddev_approx,
+    abs(p90_thresh_approx - p90_thresh) AS p90_thresh_diff, abs(p80_thresh_approx - p80_thresh) AS p80_thresh_diff,
+    abs(p90_stddev_approx - p90_stddev) AS p90_stddev_diff, abs(p80_stddev_approx - p80_stddev) AS p80_stddev_diff
+  FROM groups_found JOIN low_above
+    ON groups_found.sku = low_above.sku AND groups_found."month" = low_above."month")"""
+
 
 # a window is closed when its date is at or before the watermark, one day behind the last order
 STREAM = """
@@ -145,8 +165,9 @@ event_order AS (
       ELSE '6XL' END AS size,
     CAST(json_extract_string(props, '$.k') AS INTEGER) AS qty
   FROM events),
+volume AS (SELECT state, count(*) AS n_orders FROM event_order GROUP BY state),
 lengths AS (
-  SELECT state, CASE WHEN count(*) > 2000 THEN 5 ELSE 10 END AS window_days FROM event_order GROUP BY state),
+  SELECT state, CASE WHEN n_orders > (SELECT avg(n_orders) FROM volume) THEN 5 ELSE 10 END AS window_days FROM volume),
 shipped AS (SELECT * FROM event_order WHERE qty > 0 AND state <> '' AND size <> ''),
 totals AS (
   SELECT shipped.state, CAST(order_date + CAST(ahead AS INTEGER) AS DATE) AS window_date, size,
@@ -167,13 +188,15 @@ ORACLES: dict[str, str] = {
         """SELECT row_id,
   strftime(make_date(2000 + year(order_date) % 100, month(order_date), day(order_date)), '%Y-%m-%d') AS order_date,
   upper(city) AS city, upper(state) AS state, amount,
-  CAST(CASE WHEN promotion_ids IS NULL THEN 0 ELSE len(string_split(promotion_ids, ','))
-    + CASE WHEN row_id % 4 = 1 THEN 1 ELSE 0 END END AS INTEGER) AS n_promos
+  CASE row_id % 4 WHEN 1 THEN promotion_ids || ',"Q"' WHEN 3 THEN '  L1' || chr(10) || 'L2, ' || promotion_ids
+    ELSE promotion_ids END AS promotion_ids,
+  CAST(CASE WHEN promotion_ids IS NULL THEN 0 ELSE len(string_split(promotion_ids, ',')) + row_id % 2 END AS INTEGER)
+    AS n_promos
 FROM sales_order""",
     ),
     "orders_from_lines": _with(
         SALES_LINE,
-        """SELECT upper(state) AS state,
+        """SELECT CASE WHEN qty <> 13 THEN upper(state) END AS state,
   strftime(CASE WHEN size = 'Free' THEN make_date(2000 + year(order_date) % 100, 3, 1) - 1
     ELSE make_date(2000 + year(order_date) % 100, month(order_date), day(order_date)) END, '%Y-%m-%d') AS order_date,
   status, size, qty, CASE WHEN qty % 2 = 0 THEN CAST(qty AS INTEGER) ELSE 0 END AS whole_qty
@@ -233,12 +256,12 @@ FROM steady GROUP BY state, window_date""",
   n_tokens, CAST(active_days AS INTEGER) AS active_days FROM lifespan""",
     ),
     "valid_promos": _with(PROMOS, "SELECT promo FROM lifespan WHERE active_days >= 2"),
-    "state_threshold": _with(PROMOS, "SELECT state, round(state_avg + 1e-7, 4) AS state_avg FROM threshold"),
+    "state_threshold": _with(PROMOS, "SELECT state, round(state_avg, 6) AS state_avg FROM threshold"),
     "cancelled_candidates": _with(PROMOS, "SELECT row_id, city, state, amount, promotion_ids FROM candidates"),
     "valid_promo_count": _with(PROMOS, "SELECT row_id, n_valid FROM valid_count"),
     "qualified_orders": _with(
         PROMOS,
-        """SELECT row_id, city, state, amount, n_valid, round(state_avg + 1e-7, 4) AS state_avg, qualified
+        """SELECT row_id, city, state, amount, n_valid, round(state_avg, 6) AS state_avg, qualified
 FROM qualified""",
     ),
     "city_cancel_pct": _with(PROMOS, "SELECT city, total_orders, qualified_orders, pct_cancelled FROM cities"),
@@ -291,6 +314,29 @@ FROM groups_found""",
         """SELECT max(p90_thresh - p90_thresh) AS max_p90_thresh_diff, max(p80_thresh - p80_thresh) AS max_p80_thresh_diff,
   max(p90_stddev - p90_stddev) AS max_p90_stddev_diff, max(p80_stddev - p80_stddev) AS max_p80_stddev_diff
 FROM groups_found""",
+    ),
+    "pct_diff_levels": _with(
+        LEVELS,
+        """SELECT count(*) AS n_groups, count(*) FILTER (p90_thresh_diff > 1e-9) AS n_thresh_diff,
+  count(*) FILTER (p90_stddev_diff > 1e-9) AS n_stddev_diff,
+  round(count(*) FILTER (p90_thresh_diff > 1e-9) / count(*) * 100, 2) AS pct_thresh_diff,
+  round(count(*) FILTER (p90_stddev_diff > 1e-9) / count(*) * 100, 2) AS pct_stddev_diff FROM levels""",
+    ),
+    "pct_max_diff_levels": _with(
+        LEVELS,
+        """SELECT max(p90_thresh_diff) AS max_p90_thresh_diff, max(p80_thresh_diff) AS max_p80_thresh_diff,
+  round(max(p90_stddev_diff), 4) AS max_p90_stddev_diff, round(max(p80_stddev_diff), 4) AS max_p80_stddev_diff
+FROM levels""",
+    ),
+    "pct_preview": _with(
+        LEVELS,
+        """SELECT sku, "month", p90_thresh_approx, p80_thresh_approx, total_group_orders,
+  round(p90_stddev_approx, 4) AS p90_stddev_approx, round(p80_stddev_approx, 4) AS p80_stddev_approx,
+  p90_thresh AS p90_thresh_exact, p80_thresh AS p80_thresh_exact,
+  round(p90_stddev, 4) AS p90_stddev_exact, round(p80_stddev, 4) AS p80_stddev_exact,
+  p90_thresh_diff, p80_thresh_diff,
+  round(p90_stddev_diff, 4) AS p90_stddev_diff, round(p80_stddev_diff, 4) AS p80_stddev_diff
+FROM levels ORDER BY sku, "month" LIMIT 20""",
     ),
     "stddev_nonzero": _with(
         PERCENTILES,

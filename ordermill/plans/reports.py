@@ -40,16 +40,18 @@ def clean_states(
 
 def popular_sizes(
     orders: DataFrame,
-    cutoff: int = windows.VOLUME_CUTOFF,
+    cutoff: float | None = windows.VOLUME_CUTOFF,
     short: int = windows.SHORT_DAYS,
     long: int = windows.LONG_DAYS,
 ) -> DataFrame:
     """state, window_date, size: the most popular size of every adaptive window.
 
-    The daily totals are staged, as both the volumes and the windows come from them.
+    The daily totals are staged, as both the volumes and the windows come from them.  Without a
+    cut-off, states above the average volume get the short window.
     """
     daily = stage(windows.daily_totals(orders), "daily")
-    lengths = windows.window_lengths(windows.volume_of(daily), cutoff, short, long)
+    volume = windows.volume_of(daily)
+    lengths = windows.window_lengths(volume, windows.mean_volume(volume) if cutoff is None else cutoff, short, long)
     return windows.top_size(windows.window_totals(daily, lengths, long))
 
 
@@ -70,8 +72,7 @@ def qualified_orders(
 ) -> DataFrame:
     """The cancelled standard orders with n_valid, state_avg and qualified.
 
-    The code lifespans and state averages are staged: with their sizes known, neither a frequent
-    code nor a busy state costs the orders a shuffle while the lookup is small.
+    The code lifespans and state averages are staged: the planner then joins by their real sizes.
     """
     lifespans, thresholds = stage_all(
         lifespans=promos.promo_lifespan(orders), thresholds=promos.state_threshold(orders)
@@ -84,8 +85,7 @@ def cancelled_share(
     orders: DataFrame, min_days: int = promos.MIN_ACTIVE_DAYS, min_valid: int = promos.MIN_VALID_CODES
 ) -> DataFrame:
     """city, total_orders, qualified_orders, pct_cancelled, in the order of the city."""
-    lifespans, places = stage_all(lifespans=promos.promo_lifespan(orders), places=promos.place_totals(orders))
-    return promos.candidates_city_share(promos.cancelled_candidates(orders), lifespans, places, min_days, min_valid)
+    return promos.city_share(qualified_orders(orders, min_days, min_valid))
 
 
 def promo_percentiles(
@@ -96,8 +96,10 @@ def promo_percentiles(
     """Approximate and exact thresholds and deviations per (sku, month), with their differences,
     in the order of sku and month.
 
-    ``prepared`` is read twice; persist it first if it fits.  The result is staged before it is
-    ordered, as a total order runs its input twice, once to find the ranges.
+    ``prepared`` is staged, as bins and sketch both read it, and so its source is read once.  The
+    result is staged before it is ordered, as a total order runs its input twice, once to find the
+    ranges.
     """
+    prepared = stage(prepared, "prepared")
     compared = stage(percentiles.compared_percentiles(prepared, probabilities, accuracy), "percentiles")
     return compared.orderBy(*percentiles.GROUP).withColumn("month", month_text(F.col("month")))

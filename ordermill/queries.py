@@ -17,10 +17,6 @@ from ordermill.streaming import windows as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Orders per state that make its window short, for tables where states have some 1600 orders.
-VOLUME_CUTOFF = 1600
-EVENT_CUTOFF = 2000
-
 # City corrections in terms of the star schema.
 CITY_FIXES = [("N21", "BUILDING", "NATION_21"), ("N22", "MACHINERY", "NATION_22")]
 
@@ -38,8 +34,8 @@ def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
 
 
 def _rounded_average(df: DataFrame) -> DataFrame:
-    # averages of cents hit exact ties, which the order of summation would round either way
-    return df.withColumn("state_avg", F.round(F.col("state_avg") + 1e-7, 4))
+    # averages of cents often end in a 5 in the third to fifth place, which summation rounds either way
+    return _rounded(df, 6, "state_avg")
 
 
 # --- sources ---------------------------------------------------------------------------------
@@ -50,7 +46,8 @@ def orders_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     writers.write_csv(star.raw_sales_order(spark, folder), path)
     typed = orders.promo_orders(readers.read_csv(spark, path))
     n_promos = promo_count(F.col("promotion_ids")).alias("n_promos")
-    return _dates_as_strings(typed.select("row_id", "order_date", "city", "state", "amount", n_promos), "order_date")
+    columns = ["row_id", "order_date", "city", "state", "amount", "promotion_ids", n_promos]
+    return _dates_as_strings(typed.select(*columns), "order_date")
 
 
 def orders_from_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,7 +94,8 @@ def shipped_state_volume(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def state_window_length(spark: SparkSession, folder: str) -> DataFrame:
-    return windows.window_lengths(shipped_state_volume(spark, folder), VOLUME_CUTOFF)
+    volume = stage(shipped_state_volume(spark, folder), "volume")
+    return windows.window_lengths(volume, windows.mean_volume(volume))
 
 
 def window_input(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,7 +104,8 @@ def window_input(spark: SparkSession, folder: str) -> DataFrame:
 
 def _window_totals(spark: SparkSession, folder: str) -> DataFrame:
     daily = stage(windows.daily_totals(star.sales_line(spark, folder)), "daily")
-    return windows.window_totals(daily, windows.window_lengths(windows.volume_of(daily), VOLUME_CUTOFF))
+    volume = windows.volume_of(daily)
+    return windows.window_totals(daily, windows.window_lengths(volume, windows.mean_volume(volume)))
 
 
 def window_triplets(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,8 +118,7 @@ def window_size_variance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def window_top_size(spark: SparkSession, folder: str) -> DataFrame:
-    sizes = reports.popular_sizes(star.sales_line(spark, folder), VOLUME_CUTOFF)
-    return _dates_as_strings(sizes, "window_date")
+    return _dates_as_strings(reports.popular_sizes(star.sales_line(spark, folder), cutoff=None), "window_date")
 
 
 # --- style variety ---------------------------------------------------------------------------
@@ -238,24 +236,51 @@ def pct_max_diff(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(largest, 4, *[c for c in largest.columns if "stddev" in c])
 
 
+def _levels(spark: SparkSession, folder: str) -> DataFrame:
+    return percentiles.compared_levels(_prepared(spark, folder), (0.5, 0.2))
+
+
+def pct_diff_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """The difference report where thresholds do differ: the median against the P90, P20 against P80."""
+    return percentiles.difference_report(_levels(spark, folder))
+
+
+def pct_max_diff_levels(spark: SparkSession, folder: str) -> DataFrame:
+    largest = percentiles.largest_differences(_levels(spark, folder))
+    return _rounded(largest, 4, *[c for c in largest.columns if "stddev" in c])
+
+
+def pct_preview(spark: SparkSession, folder: str) -> DataFrame:
+    first = _months_as_text(percentiles.preview(_levels(spark, folder), 20))
+    return _rounded(first, 4, *[c for c in first.columns if "stddev" in c])
+
+
 def stddev_nonzero(spark: SparkSession, folder: str) -> DataFrame:
-    groups = _months_as_text(percentiles.nonzero_deviation(_compared(spark, folder)))
+    exact = percentiles.exact_percentiles(_prepared(spark, folder))
+    groups = _months_as_text(percentiles.nonzero_deviation(exact))
     return _rounded(groups.select("sku", "month", "p90_stddev_exact"), 4, "p90_stddev_exact")
 
 
 def stddev_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return percentiles.deviation_profile(_compared(spark, folder))
+    return percentiles.deviation_profile(percentiles.exact_percentiles(_prepared(spark, folder)))
 
 
 # --- streaming -------------------------------------------------------------------------------
 
 
 def stream_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
-    volume = star.event_orders(star.table(spark, folder, "events")).groupBy("state").agg(F.count("*").alias("n_orders"))
-    lengths = stage(windows.window_lengths(volume, EVENT_CUTOFF), "lengths")
-    totals = streaming.window_totals(streaming.read_orders(spark, folder), lengths)
-    path = new_folder(spark, "closed-windows")
-    streaming.write_closed_windows(totals, path, new_folder(spark, "stream"), available_now=True).awaitTermination()
+    """The events arrive in four parts, in the order of time; the stream stops and resumes in between."""
+    events = star.table(spark, folder, "events")
+    volume = stage(star.event_orders(events).groupBy("state").agg(F.count("*").alias("n_orders")), "volume")
+    lengths = stage(windows.window_lengths(volume, windows.mean_volume(volume)), "lengths")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = (x or 0 for x in events.agg(F.min(micros), F.max(micros)).first())
+    part = F.least(F.floor((micros - F.lit(first)) / F.lit(max(last - first, 1)) * 4), F.lit(3))
+    source, path, checkpoint = (new_folder(spark, name) for name in ("events", "closed-windows", "stream"))
+    for n in range(4):
+        events.where(F.coalesce(part, F.lit(0)) == n).write.mode("append").parquet(f"{source}/events.parquet")
+        totals = streaming.window_totals(streaming.read_orders(spark, source), lengths)
+        streaming.write_closed_windows(totals, path, checkpoint, available_now=True).awaitTermination()
     return _dates_as_strings(spark.read.schema(totals.schema).parquet(path), "window_date")
 
 
@@ -294,6 +319,9 @@ QUERIES: dict[str, Query] = {
     "pct_compare": pct_compare,
     "pct_diff_report": pct_diff_report,
     "pct_max_diff": pct_max_diff,
+    "pct_diff_levels": pct_diff_levels,
+    "pct_max_diff_levels": pct_max_diff_levels,
+    "pct_preview": pct_preview,
     "stddev_nonzero": stddev_nonzero,
     "stddev_profile": stddev_profile,
     "stream_sliding_window": stream_sliding_window,

@@ -15,14 +15,11 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     Quoted fields may hold commas, doubled quotes and, with ``multi_line``, line ends.  Spark
     cannot split a multi-line file, so one task reads one file: keep such input in many files,
     or pass ``multi_line=False`` when no field holds a line end, and land it as Parquet once.
+    Of several files all have to bear the same header: one that differs fails the read.
     """
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"')
+    # with a given schema, unless it is enforced, Spark compares the header of every file with it
+    return reader.options(enforceSchema=False).schema(reader.csv(path).schema).csv(path)
 
 
 def split_line(line: Column) -> Column:
@@ -31,19 +28,26 @@ def split_line(line: Column) -> Column:
     return F.from_csv(line, columns, {"quote": '"', "escape": '"'})
 
 
+def field_count(line: Column) -> Column:
+    """Number of fields in a CSV line; an open quote runs to its end."""
+    unquoted = F.regexp_replace(line, r'"[^"]*("|$)', "")
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+
+
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Order columns from a text column of CSV lines.
 
-    Header lines (wherever they stand), blank lines and lines without a state, among them those
-    that end before it, are left out.
+    Header lines (wherever they stand), blank lines and lines that end before the state are left
+    out.  A line whose state is empty stays; whether it counts is up to the analysis.
     """
     line = F.col(column)
     header = trim_control(F.col("Date")).eqNullSafe("Date")
+    reaches_state = field_count(line) > ORDER_COLUMNS.index("ship-state")
     return (
-        lines.filter((trim_control(line) != "") & ~line.startswith("index,Order ID"))
+        lines.filter((trim_control(line) != "") & ~line.startswith("index,Order ID") & reaches_state)
         # as a generator the parser runs once per line; a filter on its columns would repeat it
         .select(F.inline(F.array(split_line(line))))
-        .filter(F.col("ship-state").isNotNull() & ~header)
+        .filter(~header)
     )
 
 

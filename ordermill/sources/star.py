@@ -109,7 +109,8 @@ def _raw(df: DataFrame, **cells: Column) -> DataFrame:
 
 
 def raw_sales_order(spark: SparkSession, folder: str) -> DataFrame:
-    """`sales_order` as raw text, with untidy places and with quotes and line ends among the codes."""
+    """`sales_order` as raw text, with untidy places, and with quotes, spaces at the edge and line ends
+    inside the list of codes."""
     key, codes = F.col("row_id"), F.col("promotion_ids")
     return _raw(
         sales_order(spark, folder),
@@ -124,14 +125,14 @@ def raw_sales_order(spark: SparkSession, folder: str) -> DataFrame:
         ship_city=F.concat(F.lit(" "), F.lower("city")),
         ship_state=F.concat(F.lower("state"), F.lit("  ")),
         promotion_ids=F.when(key % 4 == 1, F.concat(codes, F.lit(',"Q"')))
-        .when(key % 4 == 3, F.concat(codes, F.lit(",\n")))
+        .when(key % 4 == 3, F.concat(F.lit("  L1\nL2, "), codes))
         .otherwise(codes),
     )
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """`sales_line` as CSV lines; odd quantities have a decimal point, and unsized articles ship on
-    February 31."""
+    """`sales_line` as CSV lines; odd quantities have a decimal point, unsized articles ship on
+    February 31, and 13 pieces go to no state.  Among them stand headers, blank and short lines."""
     year = F.date_format("order_date", "yy")
     raw = _raw(
         sales_line(spark, folder),
@@ -143,11 +144,15 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         sku=F.col("sku"),
         size=F.concat(F.lit("\t"), F.col("size")),
         qty=F.when(F.col("qty") % 2 == 0, _text(F.col("whole_qty"))).otherwise(_text(F.col("qty"))),
-        ship_state=F.concat(F.lit(" "), F.lower("state")),
+        ship_state=F.when(F.col("qty") != 13, F.concat(F.lit(" "), F.lower("state"))),
         ship_country=F.lit('IN, "India"'),
     )
     keep = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    return raw.select(F.to_csv(F.struct(*[f"`{name}`" for name in ORDER_COLUMNS]), keep).alias("value"))
+    lines = raw.select(F.to_csv(F.struct(*[f"`{name}`" for name in ORDER_COLUMNS]), keep).alias("value"))
+    header = ",".join(ORDER_COLUMNS)
+    dropped = [header, header.replace(ORDER_COLUMNS[0], "row"), " \t", '1,"a,b,c,d,e,f,g,h,i,j,k,l,m,n,o,p,q,r,s",04-01-22,Shipped']
+    noise = table(spark, folder, "nation").select(F.explode(F.array(*map(F.lit, dropped))).alias("value"))
+    return lines.unionByName(noise)
 
 
 def dirty_state(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Writing results: Parquet and CSV folders, or one flat file for a result of checked size."""
+"""Writing results: Parquet and CSV folders, or one flat file on request."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ordermill.session import new_folder
 
-# A flat file is written by one task, so only a result up to this size may become one.
-FLAT_FILE_ROWS = 1_000_000
+# By default Spark strips white space around a field when it writes one.
+LOSSLESS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -18,14 +18,14 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV folder with a header line per file, replacing what was there."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**LOSSLESS).csv(path)
 
 
-def write_flat_file(df: DataFrame, target: str, file_format: str = "parquet", max_rows: int = FLAT_FILE_ROWS) -> None:
+def write_flat_file(df: DataFrame, target: str, file_format: str = "parquet") -> None:
     """One file at ``target``, in the order of ``df`` and replacing what was there.
 
-    The result is first written in parallel to the shared folder and counted there; above
-    ``max_rows`` nothing is flattened and the call fails, naming the folder that holds it.
+    The result is first computed in parallel, into the shared folder; one task then copies its
+    rows in order, so a large result is better left as a folder.
     """
     if file_format not in ("parquet", "csv"):
         raise ValueError(f"unknown format {file_format!r}")
@@ -33,10 +33,6 @@ def write_flat_file(df: DataFrame, target: str, file_format: str = "parquet", ma
     folder = new_folder(spark, "result")
     df.write.parquet(folder)
     result = spark.read.schema(df.schema).parquet(folder)
-    rows = result.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows are too many for one file; the result is in {folder}")
-
     # part files are numbered in the order of the result
     single = new_folder(spark, "single")
     place = ["_metadata.file_name", "_metadata.row_index"]
@@ -44,7 +40,7 @@ def write_flat_file(df: DataFrame, target: str, file_format: str = "parquet", ma
     ordered = ordered.coalesce(1).sortWithinPartitions("_place0", "_place1").drop("_place0", "_place1")
     writer = ordered.write
     if file_format == "csv":
-        writer.option("header", True).option("escape", '"').csv(single)
+        writer.options(**LOSSLESS).csv(single)
     else:
         writer.parquet(single)
     _copy_part(spark, single, target)

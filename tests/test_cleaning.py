@@ -29,14 +29,16 @@ def test_states_are_spelled_and_missing_ones_dropped(frame):
     assert rows(reports.clean_states(frame), "ship-state", "ship-city") == sorted((n, c) for _, c, n in GOLDEN)
 
 
-def test_large_alias_tables_need_no_broadcast(spark, frame, monkeypatch):
-    from ordermill.operators import lookup
-
+def test_alias_tables_need_no_broadcast(spark, frame):
     expected = rows(reports.spell_states(frame), "ship-state", "ship-city")
-    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
-    merged = reports.spell_states(frame)
-    assert merged.columns == frame.columns
-    assert rows(merged, "ship-state", "ship-city") == expected
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        merged = reports.spell_states(frame)
+        assert merged.columns == frame.columns
+        assert rows(merged, "ship-state", "ship-city") == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
 
 
 def test_unmapped(spark, frame):

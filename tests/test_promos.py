@@ -74,18 +74,20 @@ def test_orders_without_id_stay_in_the_denominator(raw_orders):
     assert rows(reports.cancelled_share(frame)) == [("BLR", 6, 1, 16.6667), ("PANJIM", 1, 0, 0.0)]
 
 
-@pytest.mark.parametrize("min_valid", [1, 2, 3, 4])
-def test_city_share_with_and_without_the_counts_of_orders(spark, golden, min_valid):
-    _, frame = skewed_orders(spark, 300)
-    frame = frame.withColumn("row_id", F.when(F.col("row_id") % 7 != 0, F.col("row_id")))
-    for orders_ in (golden, frame):
-        detailed = promos.city_share(reports.qualified_orders(orders_, min_valid=min_valid))
-        assert rows(reports.cancelled_share(orders_, min_valid=min_valid)) == rows(detailed)
+def test_rows_of_one_id_share_the_count(raw_orders):
+    order = ("8", "04-03-22", "Cancelled", "Amazon", None, "Standard", "KA", "HUBLI", "10", "P1,P2")
+    frame = orders.promo_orders(raw_orders([dict(zip(NAMES, r)) for r in [*GOLDEN, order, order]]))
+    expected = [("BLR", 3, 1, 33.3333), ("HUBLI", 2, 2, 100.0), ("PANJIM", 1, 0, 0.0)]
+    assert rows(reports.cancelled_share(frame)) == expected
+    assert rows(promos.city_share(reports.qualified_orders(frame))) == expected
 
 
-def test_city_share_needs_a_code(golden):
-    with pytest.raises(ValueError):
-        reports.cancelled_share(golden, min_valid=0)
+def test_cities_come_in_order(golden):
+    assert [r["city"] for r in reports.cancelled_share(golden).collect()] == ["BLR", "PANJIM"]
+
+
+def test_no_code_is_needed_if_none_is_asked_for(golden):
+    assert rows(reports.cancelled_share(golden, min_valid=0), "city", "qualified_orders") == [("BLR", 2), ("PANJIM", 0)]
 
 
 def skewed_orders(spark, n=900):
@@ -107,14 +109,11 @@ def skewed_orders(spark, n=900):
     return data, spark.createDataFrame(data, schema)
 
 
-def test_broadcast_and_salted_lookups_agree_with_brute_force(spark):
+def test_counts_agree_with_brute_force(spark):
     data, frame = skewed_orders(spark)
     lifespans, thresholds = promos.promo_lifespan(frame), promos.state_threshold(frame)
     lifespans, thresholds = stage(lifespans, "lifespans"), stage(thresholds, "thresholds")
 
-    places = stage(promos.place_totals(frame), "places")
-    assert rows(promos.threshold_of(places), "state") == rows(thresholds, "state")
-
     days, averages = {}, {}
     for row in data:
         for code in (c.strip() for c in (row[9] or "").split(",")):
@@ -139,51 +138,43 @@ def test_broadcast_and_salted_lookups_agree_with_brute_force(spark):
     for city in ("BLR", "MYS", "PANJIM"):
         flags = [flag for row_id, _, flag in expected if cities[row_id] == city]
         share.append((city, len(flags), sum(flags)))
-    for limit in (10_000, 0):
-        by_city = promos.candidates_city_share(candidates, lifespans, places, max_broadcast_rows=limit)
-        assert rows(by_city, "city", "total_orders", "qualified_orders") == share
-        counted = promos.with_valid_count(candidates, lifespans, max_broadcast_rows=limit)
-        flagged = promos.with_qualified(counted, thresholds, max_broadcast_rows=limit)
-        assert rows(flagged, "row_id", "n_valid", "qualified") == expected
-
-
-def test_hot_codes_are_bounded(spark):
-    lifespans = spark.range(1, 5001).select(F.col("id").alias("promo"), F.lit(3).alias("n_tokens"))
-    lifespans = lifespans.unionAll(spark.range(1).select(F.lit(-1).alias("promo"), F.lit(9000).alias("n_tokens")))
-    assert rows(promos.hot_promos(lifespans)) == [(-1,)]
-    even = spark.range(3000).select(F.col("id").alias("promo"), F.lit(7).alias("n_tokens"))
-    assert promos.hot_promos(even).count() == 0
-    assert promos.hot_promos(even.limit(1000)).count() == 1000
-
-
-def test_salted_join_spreads_the_hot_key(spark):
-    from ordermill.operators.lookup import SALTS, salted_join
-
-    frame = spark.range(2000).select(F.when(F.col("id") < 1500, "HOT").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    lookup = spark.createDataFrame([("HOT", 1), ("1600", 2)], "k string, v int")
-    hot = lookup.filter("k = 'HOT'").select("k")
-    joined = salted_join(frame, lookup, "k", F.xxhash64("id"), hot)
-    assert joined.columns == ["k", "id", "v"]
-    assert joined.count() == 2000
-    assert rows(joined.groupBy("v").count()) == [(None, 499), (1, 1500), (2, 1)]
-    assert SALTS > 1
-
-
-def test_salted_join_leaves_no_large_partition(spark):
-    from ordermill.operators.lookup import salted_join
-
-    # a third of the rows has the hot key, a third no key
-    key = F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
-    frame = spark.range(30_000).select(key.alias("k"), "id")
-    lookup = spark.createDataFrame([("HOT", 1), ("1600", 2)], "k string, v int")
-    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (default, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            flagged = promos.with_qualified(promos.with_valid_count(candidates, lifespans), thresholds)
+            assert rows(flagged, "row_id", "n_valid", "qualified") == expected
+            assert rows(promos.city_share(flagged), "city", "total_orders", "qualified_orders") == share
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+
+
+@pytest.mark.parametrize("hot", [3, 1100])  # a code with a third of all uses, and with just under a thousandth
+def test_hot_codes_and_missing_ids_leave_no_large_task(spark, hot):
+    n = 120_000
+    promo = F.when(F.col("id") % hot == 0, "HOT").otherwise(F.concat(F.lit("C"), (F.col("id") % 5000).cast("string")))
+    candidates = spark.range(n).select(
+        F.when(F.col("id") % 3 != 1, F.col("id")).alias("row_id"),
+        F.lit("X").alias("city"), F.lit("KA").alias("state"), F.lit(1.0).alias("amount"), promo.alias("promotion_ids"),
+    )
+    codes = spark.range(5000).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("promo"))
+    lifespans = codes.unionByName(spark.createDataFrame([("HOT",)], "promo string")).withColumn("active_days", F.lit(9))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "48k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
     before = {name: spark.conf.get(name) for name in settings}
     try:
         for name, value in settings.items():
             spark.conf.set(name, value)
-        joined = salted_join(frame, lookup, "k", F.xxhash64("id"), lookup.filter("v = 1").select("k"))
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        counted = promos.with_valid_count(candidates, stage(lifespans, "lifespans"))
+        sizes = [r["count"] for r in counted.groupBy(F.spark_partition_id()).count().collect()]
+        assert counted.filter("n_valid = 1").count() == n - n // 3
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    assert len(sizes) == 4 and sum(sizes) == 30_000 and max(sizes) < 1.3 * 30_000 / 4
+    assert sum(sizes) == n and max(sizes) < n / 6

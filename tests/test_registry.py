@@ -30,7 +30,7 @@ def plan_of(df):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES) and len(QUERIES) == 37
+    assert set(QUERIES) == set(ORACLES) and len(QUERIES) == 40
     assert QUERIES.items() <= driver.queries().items() and ORACLES.items() <= driver.oracle_sql().items()
 
 
@@ -46,6 +46,26 @@ def test_query_equals_sql(spark, tables, name):
     pd.testing.assert_frame_equal(got, expected, check_exact=True)
 
 
+def test_reports_are_not_about_zeros(spark):
+    report = QUERIES["pct_diff_levels"](spark, str(FOLDER)).first()
+    assert report["n_thresh_diff"] > 0 and report["n_stddev_diff"] > 0
+    assert all(v > 0 for v in QUERIES["pct_max_diff_levels"](spark, str(FOLDER)).first())
+
+
+@pytest.mark.parametrize("name,tables_read", [("stddev_nonzero", 1), ("stddev_profile", 1)])
+def test_one_scan_for_exact_results(spark, name, tables_read):
+    assert plan_of(QUERIES[name](spark, str(FOLDER))).count("lineitem.parquet") == tables_read
+
+
+def test_both_window_lengths_occur(spark):
+    lengths = rows_of(QUERIES["state_window_length"](spark, str(FOLDER)))
+    assert {days for _, days in lengths} == {5, 10}
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
 def test_entry(spark):
     result = driver.entry(spark)
     assert result.columns == ["state", "window_date", "size"] and result.count() > 0

@@ -46,12 +46,18 @@ def test_lines_drop_headers_blanks_and_short_lines(spark, tmp_path):
             "1,b,04-01-22,Shipped",
             header.replace("index", "row"),
             line(index="2", ship_state="GOA"),
+            line(index="3", qty='"1,5"'),
+            '4,"' + ",".join("abcdefghijklmnopqrstuvwxyz") + '"',
+            "5" + "," * 16,
+            "6" + "," * 17,
         ]
     )
     (tmp_path / "orders.csv").write_text(text)
     frame = readers.read_lines(spark, str(tmp_path / "orders.csv"))
     assert frame.columns == ORDER_COLUMNS
-    assert rows(frame, "index", "ship-state", "promotion-ids") == [("0", "KA", 'P1,P2 "q"'), ("2", "GOA", None)]
+    assert rows(frame, "index", "ship-state", "promotion-ids") == [
+        ("0", "KA", 'P1,P2 "q"'), ("2", "GOA", None), ("3", None, None), ("6", None, None)
+    ]
 
 
 def test_lines_and_csv_give_the_same_orders(spark, tmp_path):
@@ -113,12 +119,28 @@ def test_flat_parquet_is_replaced(spark, tmp_path):
     assert readers.read_parquet(spark, target).count() == 3
 
 
-def test_flat_file_refuses_a_large_result(spark, tmp_path):
-    with pytest.raises(ValueError, match="too many"):
-        writers.write_flat_file(spark.range(11), str(tmp_path / "out.parquet"), max_rows=10)
+def test_flat_file_of_an_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown format"):
         writers.write_flat_file(spark.range(1), str(tmp_path / "out.orc"), "orc")
-    assert not (tmp_path / "out.parquet").exists()
+    assert not (tmp_path / "out.orc").exists()
+
+
+def test_csv_keeps_white_space(spark, tmp_path):
+    frame = spark.createDataFrame([("  a b  ", "x\n"), ("\t", None), (None, " \n y"), ('"', ",\r\n,")], "x string, y string")
+    writers.write_csv(frame, str(tmp_path / "out"))
+    writers.write_flat_file(frame, str(tmp_path / "out.csv"), "csv")
+    for path in ("out", "out.csv"):
+        assert rows(readers.read_csv(spark, str(tmp_path / path))) == rows(frame)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_files_with_other_headers_fail(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text("SKU,Amount\nk1,7\n")
+    (tmp_path / "b.csv").write_text("Amount,SKU\n8,k2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(tmp_path), multi_line).collect()
+    (tmp_path / "b.csv").write_text("SKU,Amount\nk2,8\n")
+    assert rows(readers.read_csv(spark, str(tmp_path), multi_line)) == [("k1", "7"), ("k2", "8")]
 
 
 def test_flat_file_does_not_go_into_a_folder(spark, tmp_path):

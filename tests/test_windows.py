@@ -164,14 +164,6 @@ def test_variance_agrees_with_var_pop(spark):
     assert joined.filter(F.abs(F.col("variance") - F.col("v")) > 1e-9).count() == 0
 
 
-@pytest.mark.parametrize("seed", [7, 8])
-def test_single_aggregate_equals_tie_break_for_whole_quantities(spark, seed):
-    _, frame = random_orders(spark, seed)
-    daily = windows.daily_totals(frame)
-    totals = windows.window_totals(daily, windows.window_lengths(windows.volume_of(daily), 60, 3, 6))
-    assert rows(windows.top_size_whole(totals)) == rows(windows.top_size(totals))
-
-
 def test_close_variances_tie_by_name(spark):
     totals = spark.createDataFrame(
         [
@@ -183,3 +175,25 @@ def test_close_variances_tie_by_name(spark):
         "state string, window_date date, size string, n long, sum_qty double, sum_qty_sq double",
     )
     assert rows(windows.top_size(totals)) == [("KA", D(2022, 4, 1), "L")]
+
+
+def test_a_variance_that_is_no_number_loses(spark):
+    inf = float("inf")
+    totals = spark.createDataFrame(
+        [
+            ("KA", D(2022, 4, 1), "A", 1, inf, inf), ("KA", D(2022, 4, 1), "M", 1, 2.0, 4.0),
+            ("KA", D(2022, 4, 2), "S", 1, inf, inf), ("KA", D(2022, 4, 2), "L", 1, inf, inf),
+            ("KA", D(2022, 4, 3), "B", 2, inf, inf), ("KA", D(2022, 4, 3), "A", 1, 2.0, 4.0),
+        ],
+        "state string, window_date date, size string, n long, sum_qty double, sum_qty_sq double",
+    )
+    assert rows(windows.top_size(totals)) == [
+        ("KA", D(2022, 4, 1), "M"), ("KA", D(2022, 4, 2), "L"), ("KA", D(2022, 4, 3), "B")
+    ]
+
+
+def test_cutoff_follows_the_data(spark):
+    volume = spark.createDataFrame([("KA", 10), ("GOA", 20), ("TN", 90)], "state string, n_orders long")
+    lengths = windows.window_lengths(volume, windows.mean_volume(volume))
+    assert rows(lengths) == [("GOA", 10), ("KA", 10), ("TN", 5)]
+    assert windows.mean_volume(volume.limit(0)) == 0.0
