@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.session import stage
 
-__all__ = ["ascii_lower", "merged_spans", "numbered", "stage", "table", "text_id", "two_hashes"]
+__all__ = ["ascii_lower", "let", "merged_spans", "numbered", "stage", "table", "text_id", "two_hashes"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -21,6 +23,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once, even where `use` refers to it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def text_id(text: Column) -> Column:
     """Tells apart the texts of one id; with the id it names a row up to repeated rows."""
     return F.xxhash64(text)

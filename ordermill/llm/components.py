@@ -14,7 +14,8 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     Each round gives every node's larger neighbours, then its smaller ones, to the smallest
     neighbour it knows (large-star and small-star steps), until the links are stars.  A round is
     written out, so lineage stays short; the driver reads only two sums per round.  A node with very
-    many neighbours is folded by partial aggregates and joined back, never gathered.
+    many neighbours is folded by partial aggregates; the sums are written too, so that the joins
+    back are between plain tables, whose hot keys adaptive execution splits.
     """
     pair = F.struct(F.greatest(left, right).alias("a"), F.least(left, right).alias("b"))
     edges = stage(links.where(F.col(left) != F.col(right)).select(pair.alias("e")).select("e.a", "e.b").distinct(), "edges")
@@ -22,10 +23,11 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     while True:
         both = edges.union(edges.select("b", "a"))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        lowest = stage(lowest, "lowest")
         larger = edges.select(F.col("b").alias("a"), F.col("a").alias("other"))  # other > a
         large = larger.join(lowest, "a").select(F.col("other").alias("a"), F.col("low").alias("b"))
         large = stage(large.distinct(), "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("low"))
+        least = stage(large.groupBy("a").agg(F.min("b").alias("low")), "least")
         small = large.join(least, "a")
         edges = small.select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
         edges = stage(edges.select("e.a", "e.b").where("a != b").distinct(), "edges")

@@ -256,7 +256,7 @@ def near_vectors(
     roots = components(found.select("point", "root"), "point", "root").select(F.col("node").alias("point"), F.col("root"))
     rooted = points.select("point", "copies", "least").join(counts, "point", "left").join(roots, "point", "left")
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "point")), "vector-roots")
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    smallest = stage(rooted.groupBy("root").agg(F.min("least").alias("component")), "vector-smallest")
     n_links = F.col("copies") - 1 + F.coalesce("links", F.lit(0))
     of_point = rooted.join(smallest, "root").select("point", n_links.alias("links"), "component")
     joined = rows.drop("vector", "label_key").join(stage(of_point, "vector-components"), "point", "left")

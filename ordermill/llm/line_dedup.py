@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import merged_spans, stage, text_id, two_hashes
+from ordermill.llm.common import let, merged_spans, stage, text_id, two_hashes
 
 
 def line_windows(docs: DataFrame, doc_id: str, text: str, lines: int = 3) -> DataFrame:
@@ -36,7 +36,7 @@ def _kept_lines(lines: Column, spans: Column) -> Column:
     """The lines outside the sorted, disjoint spans, joined again."""
     starts = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["_end"]))
     ends = F.concat(F.transform(spans, lambda s: s["_start"]), F.array(F.size(lines)))
-    gaps = F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 1, b - a))
+    gaps = let(lines, lambda all_lines: F.zip_with(starts, ends, lambda a, b: F.slice(all_lines, a + 1, b - a)))
     return F.array_join(F.flatten(gaps), "\n")
 
 

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import stage, text_id
+from ordermill.llm.common import let, stage, text_id
 
 KINDS = ["email", "ip", "card", "phone"]
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -77,17 +77,19 @@ def _valid(kind: Column, value: Column) -> Column:
 
 def _found(body: Column, pattern: str) -> Column:
     """Matches in order, each with the length of the gap before it and the text around."""
-    between, matches = F.split(body, pattern, -1), F.regexp_extract_all(body, F.lit(pattern), 0)
-    return F.transform(
-        matches,
-        lambda m, i: F.struct(
-            i.alias("nth"),
-            F.length(F.get(between, i)).alias("gap"),
-            m.alias("value"),
-            F.substring(F.get(between, i), -48, 48).alias("before"),
-            F.substring(F.get(between, i + 1), 1, 8).alias("after"),
-        ),
-    )
+    def described(between: Column) -> Column:
+        return F.transform(
+            F.regexp_extract_all(body, F.lit(pattern), 0),
+            lambda m, i: F.struct(
+                i.alias("nth"),
+                F.length(F.get(between, i)).alias("gap"),
+                m.alias("value"),
+                F.substring(F.get(between, i), -48, 48).alias("before"),
+                F.substring(F.get(between, i + 1), 1, 8).alias("after"),
+            ),
+        )
+
+    return let(F.split(body, pattern, -1), described)
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -141,14 +143,19 @@ def votes(spans: DataFrame) -> DataFrame:
     )
 
 
-def estimate(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = 200) -> tuple[dict, list[float]]:
+def estimate(
+    patterns: list[tuple[str, tuple[int, ...], int]], known: list[float | None] | None = None, rounds: int = 200
+) -> tuple[dict, list[float]]:
     """Expectation-maximisation over vote patterns: (kind, votes, count) of every pattern seen.
 
     Labelers vote independently given the truth; one that abstains says nothing.  Estimated are the
     share of true spans per kind and, per labeler, the chance of a yes on true and on false spans.
-    Returns reliabilities (labeler -> those two chances) and the posterior of each pattern.
+    `known` fixes the truth of some patterns.  Returns reliabilities (labeler -> those two chances)
+    and the posterior of each pattern.
     """
-    truth = [0.5 + 0.4 * (sum(v == YES for v in votes) - sum(v == NO for v in votes)) / len(LABELERS) for _, votes, _ in patterns]
+    known = known or [None] * len(patterns)
+    guess = [0.5 + 0.4 * (sum(v == YES for v in votes) - sum(v == NO for v in votes)) / len(LABELERS) for _, votes, _ in patterns]
+    truth = [g if k is None else k for g, k in zip(guess, known)]
     chances: dict[str, tuple[float, float]] = {}
     for _ in range(rounds):
         share = {}
@@ -162,7 +169,10 @@ def estimate(patterns: list[tuple[str, tuple[int, ...], int]], rounds: int = 200
             on_false = (4 + sum(n * (1 - t) for yes, n, t in cast if yes)) / (16 + sum(n * (1 - t) for _, n, t in cast))
             chances[name] = (on_true, on_false)
         before, truth = truth, []
-        for kind, votes, _ in patterns:
+        for (kind, votes, _), fixed in zip(patterns, known):
+            if fixed is not None:
+                truth.append(fixed)
+                continue
             odds = math.log(share[kind] / (1 - share[kind]))
             for name, vote in zip(LABELERS, votes):
                 if vote != ABSTAIN:
@@ -213,7 +223,9 @@ def find_spans(rows: DataFrame, accept: float = 0.5) -> DataFrame:
     table = sorted((r.asDict() for r in spans.groupBy(*keys).count().collect()), key=lambda r: tuple(r[k] for k in keys))
     # the driver sees one row per kind and vote pattern: 648 at most
     patterns = [(r["kind"], tuple(r[k] for k in LABELERS), r["count"]) for r in table]
-    _, truth = estimate(patterns)
+    # a match of the base that passes its checks is a span, a candidate that fails them is none
+    known = [0.0 if r["format"] == NO else 1.0 if r["base"] else None for r in table]
+    _, truth = estimate(patterns, known)
     weights = fit_classifier(table, [r["count"] for r in table], truth) if table else [0.0] * len(feature_names())
     sure = F.col("base") & F.col("valid")
     kept = spans.withColumn("chance", _chance(weights)).where(sure | (F.col("valid") & (F.col("chance") >= accept)))

@@ -162,7 +162,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, most: int = 3, doc_id: str =
     roots = components(near_links(points, most), "a", "b").select(F.col("node").alias("fp"), "root")
     rooted = points.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = stage(rooted, "simhash-roots")
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    smallest = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-smallest")
     of_point = stage(rooted.join(smallest, "root"), "simhash-components").select("fp", "component_id", "root")
     fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return marked.join(of_point, "fp").select("doc_id", fingerprint, "component_id", "_text", F.col("root").alias("_root"))

@@ -31,7 +31,7 @@ def tongues(spark):
 
 def test_language(tongues):
     frame, rows = tongues
-    got = language.identify(frame, per_language=80, landmarks=40).collect()
+    got = language.identify(frame, sample=240, landmarks=40).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
     truth = {r[0]: r[3] for r in rows}
     assert all(r.held_out == brute.held_out(r.doc_id) and 0 <= r.score <= 1 for r in got)

@@ -174,13 +174,13 @@ PERSONAL = [
     (4, "call +1 (269) 555-3296 or +49 30 1234567 now, +1 2, +123456789012345678 +1 555"),
     (5, "+1 (269) 555-3296 4111111111111111 10.0.0.1 +1 (826) 555-4081 190.137.223.204 a@b.co"),
     (6, "é日本 \U0001f600 mail ü@x.de ab@x.de \U0001f600 +4930123456789é"),
-    (7, None), (8, ""), (None, "n@o.id"), (9, "x@y.zz"), (9, "x@y.zz"), (10, "a" * 50_000), (11, "1" * 50_000), (12, "1 " * 20_000),
-    (13, "a@b." * 10_000), (14, "1." * 20_000), (15, "+1" + " " * 30_000), (16, "john [at] mail [dot] example [dot] org"),
+    (7, None), (8, ""), (None, "n@o.id"), (9, "x@y.zz"), (9, "x@y.zz"), (10, "a" * 6_000), (11, "1" * 6_000), (12, "1 " * 6_000),
+    (13, "a@b." * 3_000), (14, "1." * 6_000), (15, "+1" + " " * 6_000), (16, "john [at] mail [dot] example [dot] org"),
 ]
 
 
 def test_personal_data(make_docs, odd_pairs):
-    docs = PERSONAL + odd_pairs
+    docs = PERSONAL + [(5000 + d, t) for d, t in odd_pairs if d is not None]
     got = find_pii(make_docs(docs)).collect()
     expected = []
     for d, t in docs:
