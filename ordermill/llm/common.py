@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermill.session import stage
 
-__all__ = ["ascii_lower", "let", "merged_spans", "numbered", "stage", "table", "text_id", "two_hashes"]
+__all__ = ["ascii_lower", "let", "merged_spans", "numbered", "stage", "table", "text_id", "two_hashes", "unused"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,6 +28,14 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """`name`, with underscores before it until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_id(text: Column) -> Column:
     """Tells apart the texts of one id; with the id it names a row up to repeated rows."""
     return F.xxhash64(text)

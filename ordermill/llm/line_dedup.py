@@ -40,10 +40,13 @@ def _kept_lines(lines: Column, spans: Column) -> Column:
     return F.array_join(F.flatten(gaps), "\n")
 
 
-def dedup_lines(docs: DataFrame, lines: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, lines: int = 3, doc_id: str = "doc_id", text: str = "text", counts: bool = True
+) -> DataFrame:
     """`docs` with later occurrences of repeated line windows cut from the text.
 
-    Adds the columns lines_removed and lines_total (long; any of that name are replaced).  A window is `lines` consecutive
+    With `counts`, adds the columns lines_removed and lines_total (long; any of that name are
+    replaced).  A window is `lines` consecutive
     non-blank lines.  Its first occurrence, in the order of id (null last), text and place, stays;
     the lines that any other occurrence covers go, blank lines between them included.  Covered
     places are merged, so overlapping windows remove a line once.
@@ -65,9 +68,9 @@ def dedup_lines(docs: DataFrame, lines: int = 3, doc_id: str = "doc_id", text: s
     split, spans = F.split(docs[text], "\n", -1), cuts["_cuts"]
     removed = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["_end"] - s["_start"])
     shorter = F.when(spans.isNull(), docs[text]).otherwise(_kept_lines(split, spans)).alias(text)
-    counts = {"lines_removed": F.coalesce(removed, F.lit(0)), "lines_total": F.when(docs[text].isNull(), 0).otherwise(F.size(split))}
+    added = {"lines_removed": F.coalesce(removed, F.lit(0)), "lines_total": F.when(docs[text].isNull(), 0).otherwise(F.size(split))}
     # the hint keeps one plan at every size: texts and cuts are dealt by id, skew split at run time
     return docs.join(cuts.hint("merge"), same, "left").select(
-        *[shorter if c == text else docs[c] for c in docs.columns if c not in counts],
-        *[value.cast("long").alias(name) for name, value in counts.items()],
+        *[shorter if c == text else docs[c] for c in docs.columns if not (counts and c in added)],
+        *[value.cast("long").alias(name) for name, value in added.items() if counts],
     )
