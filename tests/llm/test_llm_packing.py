@@ -4,6 +4,7 @@ from itertools import combinations
 
 import pytest
 
+from llm_fixtures import make_docs, odd_pairs  # noqa: F401
 from ordermill.llm.packing import best_boundaries, pack_documents
 
 

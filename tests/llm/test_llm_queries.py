@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
+from llm_fixtures import make_docs, odd_pairs  # noqa: F401
 from ordermill.llm.common import stage, table
 from ordermill.llm.oracles import ORACLES
 from ordermill.llm.queries import QUERIES

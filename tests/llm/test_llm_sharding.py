@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 
+from llm_fixtures import make_docs, odd_pairs  # noqa: F401
 from ordermill.llm.sharding import longest_first, shard_documents
 
 

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 import brute
+from llm_fixtures import make_docs, odd_pairs  # noqa: F401
 from ordermill.llm.decontaminate import drop_contaminated, mark_contaminated
 from ordermill.llm.line_dedup import dedup_lines
 from ordermill.llm.pii import estimate, find_pii
