@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -175,6 +176,43 @@ def test_license_scores_equal_plain_cosines(spark):
         assert math.isclose(r.score, max(reached)[0], abs_tol=2e-6)
 
 
+def wrapped(text, lead=" * "):
+    return "\n".join(lead + line for line in textwrap.wrap(" ".join(text.split()), 60))
+
+
+FULL = {name: texts[-1] for name, texts in licenses.TEMPLATES.items()}
+GPL = next(t for t in licenses.TEMPLATES["GPL-3.0"] if "You should have received" in t and len(t) < 2000)
+GPL_2 = GPL.replace("version 3", "version 2")
+BSD_2 = "\n".join(line for line in FULL["BSD-3-Clause"].split("\n") if not re.search("Neither the name|may be used|without specific", line))
+SPOKEN = [
+    *((f"full/{name}/text.txt", "Copyright 2020 Some One\n\n" + wrapped(text, ""), name) for name, text in FULL.items()),
+    ("h/gpl.c", "/*\n * frob - frobs the tree\n * Copyright (C) 2019 Some One\n *\n" + wrapped(GPL) + "\n */\n" + CODE, "GPL-3.0"),
+    ("h/apache.py", "#!/usr/bin/python\n# Copyright 2020\n#\n" + wrapped(licenses.TEMPLATES["Apache-2.0"][3], "# ") + "\n" + CODE, "Apache-2.0"),
+    ("h/mpl.js", wrapped(licenses.TEMPLATES["MPL-2.0"][2], "// ") + "\n" + CODE, "MPL-2.0"),
+    ("h/gpl2.c", "/*\n" + wrapped(GPL_2) + "\n */\n" + CODE, None),
+    ("h/lgpl.c", "/*\n" + wrapped(GPL.replace("General Public", "Lesser General Public")) + "\n */\n" + CODE, None),
+    ("h/two.txt", "This work is licensed under the GNU General Public License, version 2.", None),
+    ("h/sa.txt", "Licensed under CC BY-SA 4.0.", None),
+    ("h/three.txt", "This work is licensed under a Creative Commons Attribution 3.0 Unported License.", None),
+    ("h/mpl1.txt", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", None),
+    ("h/isc.py", "# SPDX-License-Identifier: ISC\n" + CODE, None),
+    ("h/either.py", "# SPDX-License-Identifier: MIT OR Apache-2.0\n" + CODE, "Apache-2.0"),
+    ("b/text.txt", BSD_2, None),
+    ("g/text.txt", FULL["GPL-3.0"].replace("Version 3, 29 June 2007", "Version 2, June 1991"), None),
+    ("long.py", "# a remark\n" * 50_000 + CODE, None),
+]
+
+
+def test_whole_licences_wrapped_headers_and_unlisted_versions(spark):
+    rows = [(i, f"{i}/{p}", t) for i, (p, t, _) in enumerate(SPOKEN)]
+    rows += [(100 + i, f"{i}/full/{n}/a/b.py", CODE) for i, n in enumerate(FULL)]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+    said = {r.path: (r.license, r.origin) for r in got}
+    expected = {f"{i}/{p}": (name, name and "header") for i, (p, _, name) in enumerate(SPOKEN)}
+    expected |= {f"{i}/full/{n}/a/b.py": (n, "inherited") for i, n in enumerate(FULL)}
+    assert said == expected
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, point string, links long"
 
 
