@@ -17,11 +17,23 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
+# How a line of a document that serves as a licence file begins.
+NOTICE = r"(?im)^(this work is licensed under|licensed under|released under)\b"
+
+
 def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as files: source/lang/hundreds of the id/id.txt."""
+    """Documents as files: source/lang/hundreds of the id/id.txt.
+
+    A document that holds a notice is LICENSE-id.txt, by its id in the folder of the source, the
+    language or the hundreds, so that folders at three depths pass licences on.
+    """
     docs = table(spark, folder, "documents")
-    hundreds = F.floor(F.col("doc_id") / 100).cast("string")
-    path = F.concat_ws("/", "source", "lang", hundreds, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    name, parts = F.col("doc_id").cast("string"), ["source", "lang", F.floor(F.col("doc_id") / 100).cast("string")]
+    plain = F.concat_ws("/", *parts, F.concat(name, F.lit(".txt")))
+    file = F.concat(F.lit("LICENSE-"), name, F.lit(".txt"))
+    depth = F.pmod("doc_id", F.lit(3))
+    licence = F.when(depth == 0, F.concat_ws("/", *parts[:1], file)).when(depth == 1, F.concat_ws("/", *parts[:2], file))
+    path = F.when(F.col("text").rlike(NOTICE), licence.otherwise(F.concat_ws("/", *parts, file))).otherwise(plain)
     return licenses.scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
 
 

@@ -83,6 +83,40 @@ def test_fingerprints(results, documents):
     assert Counter(tuple(r) for r in got) == Counter(brute.simhash(documents))
 
 
+def test_licences_pass_down_at_every_depth(spark):
+    """The whole result against brute force; on these tables the notices are four lines, word for word."""
+    notices = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Released under the MIT License.": "MIT",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    }
+    folder = str(FOLDER.parent / "sf0.01")
+    files, folders = [], {}
+    for r in table(spark, folder, "documents").collect():
+        own = min((notices[x] for x in (r.text or "").split("\n") if x in notices), default=None)
+        parts = [r.source, r.lang, str(r.doc_id // 100)]
+        path = "/".join([*parts[: r.doc_id % 3 + 1], f"LICENSE-{r.doc_id}.txt"] if own else [*parts, f"{r.doc_id}.txt"])
+        files.append((r.doc_id, path, own))
+        if own:
+            folders.setdefault(path.rpartition("/")[0], []).append(own)
+    expected = {}
+    for doc_id, path, own in files:
+        above = path.rpartition("/")[0]
+        while above and above not in folders:
+            above = above.rpartition("/")[0]
+        if own:
+            expected[doc_id] = (path, own, 1.0, "header", None)
+        elif above:
+            expected[doc_id] = (path, min(folders[above]), 1.0, "inherited", above)
+        else:
+            expected[doc_id] = (path, None, None, None, None)
+    rows = QUERIES["op3_licenses"](spark, folder).collect()
+    assert len(rows) == len(files)
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == expected
+    assert {e[4].count("/") for e in expected.values() if e[3] == "inherited"} == {0, 1, 2}
+
+
 def test_held_out_accuracy(results, sql):
     lang = dict(sql.sql("SELECT doc_id, lang FROM documents").fetchall())
     held = [r for r in results["op2_language"].collect() if r.held_out]
