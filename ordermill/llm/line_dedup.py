@@ -12,7 +12,8 @@ def line_windows(docs: DataFrame, doc_id: str, text: str, lines: int = 3) -> Dat
     """One row per window of `lines` consecutive non-blank lines: _id, _text, _start, _end, _hash.
 
     _start and _end number the lines of the text from 0, blank ones included; _end is exclusive.
-    Lines are compared without the white space around them.
+    Lines are compared without the spaces (U+0020) around them, as in the SQL: a tab or carriage return
+    counts as part of its line, and a line that holds only these is not blank.
     """
     numbered = F.transform(F.split(F.col(text), "\n", -1), lambda x, i: F.struct(i.alias("at"), F.trim(x).alias("line")))
     held = docs.select(
