@@ -30,6 +30,7 @@ class Plan:
     tables: int  # cells of each vector
     window: float  # half width of the query-centred window
     least: int  # collisions of COUNTED that make a candidate
+    reach: float  # half width of the range of projection 0 that is looked at
 
 
 def _same_cell(distance: float) -> float:
@@ -45,7 +46,7 @@ def calibrated(cosine: float, points: int, recall: float) -> Plan:
     Unit vectors at cosine c are sqrt(2 - 2c) apart, and so are their projections, times a standard
     normal.  Cells are narrowed until unrelated vectors (sqrt 2 apart) seldom share one, tables are
     added until a pair at the threshold shares one with half of the allowed misses, and the least
-    collision count leaves the other half.  Closer pairs are found more surely.
+    collision count, with the pairs out of reach on projection 0, leaves the other half.  Closer pairs are found more surely.
     """
     near = math.sqrt(max(2 - 2 * cosine, 1e-6))
     missed = (1 - recall) / 2
@@ -53,11 +54,14 @@ def calibrated(cosine: float, points: int, recall: float) -> Plan:
     shared = _same_cell(near) ** width
     tables = max(1, math.ceil(math.log(missed) / math.log1p(-shared)))
     hit = math.erf(2.5 / math.sqrt(2))  # windows reach 2.5 spreads
-    least, chance = COUNTED, hit**COUNTED
+    reach = 4.0
+    while math.erfc(reach / math.sqrt(2)) > missed / 2:
+        reach += 0.5
+    least, chance = COUNTED, hit**COUNTED - math.erfc(reach / math.sqrt(2))
     while chance < 1 - missed:
         least -= 1
         chance += math.comb(COUNTED, least) * hit**least * (1 - hit) ** (COUNTED - least)
-    return Plan(cosine, width, tables, 2.5 * near, least)
+    return Plan(cosine, width, tables, 2.5 * near, least, reach * near)
 
 
 def _directions(dim: int, count: int, purpose: int) -> np.ndarray:
@@ -112,8 +116,8 @@ def _links_in(units: np.ndarray, cells: np.ndarray, table: int, mine: np.ndarray
     shown = units @ _directions(units.shape[1], COUNTED, 1)
     order = np.argsort(shown[:, 0], kind="stable")
     units, cells, mine, shown = units[order], cells[order], mine[order], shown[order]
-    low = np.searchsorted(shown[:, 0], shown[:, 0] - plan.window, side="left")
-    high = np.searchsorted(shown[:, 0], shown[:, 0] + plan.window, side="right")
+    low = np.searchsorted(shown[:, 0], shown[:, 0] - plan.reach, side="left")
+    high = np.searchsorted(shown[:, 0], shown[:, 0] + plan.reach, side="right")
     left, right = [], []
     for top in range(0, len(units), TILE):
         end = min(top + TILE, len(units))

@@ -270,6 +270,28 @@ def test_vectors(spark, seed, chunk):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got) and sum(links.values()) > 1000
 
 
+def test_a_pair_outside_one_window_alone_is_found():
+    rng, plan = np.random.default_rng(8), embeddings.calibrated(0.98, 1000, 0.99)
+    axes = embeddings._directions(24, embeddings.COUNTED, 1)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    for _ in range(100_000):
+        a = unit(rng.standard_normal(24))
+        b = unit(a + 0.19 * unit(rng.standard_normal(24)))
+        gap = (b - a) @ axes
+        if a @ b >= 0.981 and plan.window * 1.1 < gap[0] < plan.window * 1.5 and (np.abs(gap[1:]) <= plan.window).all():
+            break
+    else:
+        raise AssertionError("no such pair")
+    others = unit(rng.standard_normal((60_000, 24)))
+    first = others @ axes[:, 0] - a @ axes[:, 0]
+    others = others[(first > 0) & (first < gap[0] - plan.window)][: 2 * embeddings.TILE]
+    assert len(others) > embeddings.TILE
+    units = np.concatenate([[a, b], others])
+    cells, mine = np.zeros((len(units), 1), dtype=np.int64), np.zeros(len(units))
+    i, j = embeddings._links_in(units, cells, 0, mine, False, plan)
+    assert {0, 1} in [set(p) for p in zip(i.tolist(), j.tolist())]
+
+
 def test_vectors_of_an_empty_table(spark):
     assert embeddings.near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
