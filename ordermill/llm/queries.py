@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import decontaminate, embeddings, language, licenses, line_dedup, packing, pii, quality, sharding, simhash
+from ordermill.llm import (
+    decontaminate,
+    embeddings,
+    language,
+    licenses,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+    quality_rules,
+    resample,
+    sharding,
+    simhash,
+    spelling,
+)
 from ordermill.llm.common import table
 
 
@@ -67,6 +81,18 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(docs)
 
 
+def op11_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(table(spark, folder, "documents"), damage_every=199)
+
+
+def op13_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge_quality(table(spark, folder, "documents")).drop("failed")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,5 +106,8 @@ QUERIES = {
         op8_embeddings,
         op9_simhash,
         op10_lines,
+        op11_resample,
+        op12_spelling,
+        op13_rules,
     )
 }

@@ -1,6 +1,7 @@
 """The operators by their plain definition, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -124,3 +125,81 @@ def lines_kept(docs, size=3):
         kept = None if text is None else "\n".join(line for i, line in enumerate(lines) if i not in gone)
         out.append((doc_id, kept, len(gone)))
     return out
+
+
+def letter_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
+
+
+def resampled(docs, target, percent=10, min_words=20, longest=1, buckets=10_000, seed=2024):
+    """[doc_id, n_features, weight, score, rank] of each (doc_id, text); of equal keys any may be drawn."""
+
+    def features(text):
+        w = letter_words(text)
+        runs = [" ".join(w[i : i + n]) for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+        return [zlib.crc32(r.encode()) % buckets for r in runs]
+
+    held, wanted = [features(t) for _, t in docs], [features(t) for t in target]
+    source, sought = [1] * buckets, [1] * buckets
+    for counts, texts in ((source, held), (sought, wanted)):
+        for bucket in (b for t in texts for b in t):
+            counts[bucket] += 1
+    s, t = sum(source), sum(sought)
+    gain = [math.floor(1000 * math.log(sought[b] * s / (source[b] * t))) for b in range(buckets)]
+    out, order = [], []
+    for i, ((doc_id, text), own) in enumerate(zip(docs, held)):
+        weight = sum(gain[b] for b in own) // len(own) if own else 0
+        named = f"{seed}:{'' if doc_id is None else doc_id}"
+        h = int(hashlib.sha256(named.encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc_id, len(own), weight, score, None])
+        if len(letter_words(text)) >= min_words:
+            order.append((-score, doc_id is None, doc_id or 0, i))
+    for rank, (*_, i) in enumerate(sorted(order)[: percent * len(order) // 100], 1):
+        out[i][4] = rank
+    return out
+
+
+def spelling(docs, min_length=6, min_count=5, ratio=5, every=None):
+    """(word, form, root, n, n_near, form_n) of each word; near words by comparing all pairs."""
+    counts = defaultdict(int)
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if every and h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    n = {w: c for w, c in counts.items() if len(w) >= min_length and c >= min_count}
+
+    def near(a, b):
+        a, b = sorted((a, b), key=len)
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    out, form = {}, {}
+    for w in n:
+        partners = [x for x in n if abs(len(x) - len(w)) < 2 and near(w, x)]
+        best = min(partners, key=lambda x: (-n[x], x), default=None)
+        if best and n[best] >= ratio * n[w]:
+            form[w] = best
+        out[w] = len(partners)
+
+    def root(w):
+        return root(form[w]) if w in form else w
+
+    return [(w, form.get(w), root(w), n[w], out[w], n.get(form.get(w))) for w in n]
+
+
+def rule_counts(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed"""
+    text = text or ""
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    at = defaultdict(list)
+    for i in range(len(w) - 2):
+        at[tuple(w[i : i + 3])].append(i)
+    covered = {i + k for places in at.values() if len(places) > 1 for i in places for k in range(3)}
+    failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed

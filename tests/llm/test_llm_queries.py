@@ -17,7 +17,7 @@ from ordermill.llm.oracles import ORACLES
 from ordermill.llm.queries import QUERIES
 
 FOLDER = Path("/root/testdata/sf0.001")
-NATIVE = ["op3_licenses", "op5_decontaminate", "op7_pii"]
+NATIVE = ["op3_licenses", "op5_decontaminate", "op7_pii", "op13_rules"]
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="needs the test tables")
 
@@ -30,6 +30,9 @@ COLUMNS = {
     "op7_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op8_embeddings": ["vec_id", "n_links", "component_id", "kept"],
     "op9_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op11_resample": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op12_spelling": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op13_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
 }
 
 
@@ -52,14 +55,14 @@ def documents(spark):
 
 
 def test_names_and_columns(results):
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 14))
     for name, columns in COLUMNS.items():
         assert results[name].columns[: len(columns)] == columns
 
 
 def test_every_row_is_in_the_result(results, documents):
     for name in QUERIES:
-        if name not in ("op6_packing", "op8_embeddings"):
+        if name not in ("op6_packing", "op8_embeddings", "op12_spelling"):
             assert results[name].count() == len(documents), name
 
 
@@ -68,7 +71,8 @@ def test_query_equals_sql(results, sql, name):
     got, expected = results[name].toPandas(), sql.sql(ORACLES[name]).df()
     columns = sorted(got.columns)
     assert columns == sorted(expected.columns)
-    got, expected = (f[columns].sort_values("doc_id").reset_index(drop=True) for f in (got, expected))
+    key = "word" if "word" in columns else "doc_id"
+    got, expected = (f[columns].sort_values(key).reset_index(drop=True) for f in (got, expected))
     pd.testing.assert_frame_equal(got, expected, check_exact=True, check_dtype=False)
 
 
