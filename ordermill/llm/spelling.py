@@ -18,7 +18,7 @@ BITS_PER_WORD = 16
 BLOCK_BITS = 256  # a block is four lanes of 64 bits, with two bits of a word in each
 LANES = 4
 ROUND_WORDS = 4_000_000  # words in the filters of one round: 16 bits each, 8 MB in all
-PROBES = 1 << 21  # edits that a task hashes at a time
+PROBES = 1 << 18  # edits that a task hashes at a time, 2 MB for each array of theirs
 
 
 def damaged(doc_id: Column, run: Column, every: int) -> Column:
@@ -98,27 +98,30 @@ def block_sizes(lengths: dict[int, int]) -> tuple[dict[int, int], dict[int, int]
 
 
 def _spots(hashes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """The block of each hash and its bits in every lane, from independent mixes."""
-    x, y = _mixed(hashes), _mixed(hashes + np.uint64(0xD6E8FEB86659FD93))
+    """The block of each hash, and a second hash whose parts are its bits in the lanes."""
     # the high half picks the block, without a division
-    block = ((x >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    block = ((_mixed(hashes) >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+    return block.astype(np.int64), _mixed(hashes + np.uint64(0xD6E8FEB86659FD93))
+
+
+def _bits(spots: np.ndarray, lane: int) -> np.ndarray:
+    """The two bits of each hash in a lane."""
     one, six = np.uint64(1), np.uint64(63)
-    shifts = [np.uint64(6 * i) for i in range(2 * LANES)]
-    bits = [(one << ((y >> shifts[2 * i]) & six)) | (one << ((y >> shifts[2 * i + 1]) & six)) for i in range(LANES)]
-    return block.astype(np.int64), np.stack(bits, axis=-1)
+    return (one << ((spots >> np.uint64(12 * lane)) & six)) | (one << ((spots >> np.uint64(12 * lane + 6)) & six))
 
 
 def possible(filters: Filters, length: int, hashes: np.ndarray) -> np.ndarray:
     """Whether the filter of `length` may hold the words of these hashes; never false for one it holds."""
-    if length not in filters.size:
-        return np.zeros(hashes.shape, dtype=bool)
-    block, bits = _spots(hashes, filters.size[length])
-    # most edits fail in the first lane, so the others are looked up for the rest only
-    held = filters.blocks[filters.first[length] + block, 0] & bits[..., 0] == bits[..., 0]
-    rest = np.flatnonzero(held)
-    own = filters.blocks[filters.first[length] + block.reshape(-1)[rest]]
-    held.reshape(-1)[rest] = ((own & bits.reshape(-1, LANES)[rest]) == bits.reshape(-1, LANES)[rest]).all(axis=1)
-    return held
+    held = np.zeros(hashes.size, dtype=bool)
+    if length in filters.size:
+        block, spots = _spots(hashes.reshape(-1), filters.size[length])
+        left = np.arange(hashes.size)
+        for lane in range(LANES):  # most edits fail in the first lanes, and are not looked up again
+            bits = _bits(spots, lane)
+            passed = filters.blocks[filters.first[length] + block, lane] & bits == bits
+            block, spots, left = block[passed], spots[passed], left[passed]
+        held[left] = True
+    return held.reshape(hashes.shape)
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -139,8 +142,9 @@ def build_filters(words: DataFrame) -> Filters:
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for index, points in _by_length(batch.column(0).to_pylist()):
-                block, bits = _spots(word_hashes(points), size[points.shape[1]])
-                columns = [pa.array(first[points.shape[1]] + block), *(pa.array(bits[:, i].view(np.int64)) for i in range(LANES))]
+                block, spots = _spots(word_hashes(points), size[points.shape[1]])
+                lanes = [pa.array(_bits(spots, i).view(np.int64)) for i in range(LANES)]
+                columns = [pa.array(first[points.shape[1]] + block), *lanes]
                 yield pa.RecordBatch.from_arrays(columns, ["block", *names])
 
     set_bits = words.select("word").mapInArrow(blocks, "block long, " + ", ".join(f"{n} long" for n in names))

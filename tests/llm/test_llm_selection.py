@@ -167,7 +167,7 @@ def test_rules(spark, make_docs, shaped):
     assert all(r.kept == (not r.base_failed and not r.failed) for r in got)
     by_id = {r.doc_id: r for r in got}
     assert "bullet_line_share" in by_id[3002].failed and "ellipsis_line_share" in by_id[3003].failed
-    assert by_id[3004].kept and by_id[3005].failed == ["symbols_per_word"] and by_id[3006].failed == ["letter_share"]
+    assert not by_id[3004].failed and "symbols_per_word" in by_id[3005].failed and "letter_share" in by_id[3006].failed
     assert {"n_stop_words", "stop_share"} <= set(by_id[3007].failed) and by_id[3001].base_failed
     assert Counter(r.base_failed for r in got)[False] > 40
     kept = quality_rules.keep_good(clashing)
