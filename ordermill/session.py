@@ -5,7 +5,10 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -43,10 +46,46 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of `path` and the path in Hadoop's terms."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+_applications: set[str] = set()
+_scope: ContextVar[str | None] = ContextVar("staging scope", default=None)
+
+
+def _application_folder(spark: SparkSession) -> str:
+    """What this application stages; the driver's file system deletes it when the application ends."""
+    folder = f"{shared_folder(spark)}/ordermill-{spark.sparkContext.applicationId}"
+    if folder not in _applications:
+        files, path = hadoop_path(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _applications.add(folder)
+    return folder
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path of this application below the shared folder."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/ordermill-{app}/{label}-{uuid.uuid4().hex}"
+    """A fresh path of this application, or of the `staging` scope around the call."""
+    return f"{_scope.get() or _application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """A scope for staged tables: what is staged inside is deleted at its end, whatever ends it.
+
+    Write or collect a result inside the scope of the tables it reads.  Scopes nest, each deletes its own.
+    """
+    folder = f"{_application_folder(spark)}/scope-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        files, path = hadoop_path(spark, folder)
+        files.delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -56,26 +95,26 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     several consumers share one scan, and gives the planner real file sizes to choose a join
     by.  Meant for pre-aggregated frames, not for the order table itself.
     """
-    spark = df.sparkSession
-    path = new_folder(spark, label)
+    return _stage(df, new_folder(df.sparkSession, label))
+
+
+def _stage(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_all(**frames: DataFrame) -> list[DataFrame]:
     """`stage` several aggregates at once, so that the last tasks of one do not hold up the next."""
-    labels, dfs = list(frames), list(frames.values())
+    dfs = list(frames.values())
+    paths = [new_folder(df.sparkSession, label) for label, df in frames.items()]
     # threads take over job group and scheduler pool, unless Python threads are not pinned to JVM threads
     inherit = inheritable_thread_target(dfs[0].sparkSession)
-    write = inherit(stage) if callable(inherit) else stage
+    write = inherit(_stage) if callable(inherit) else _stage
     with ThreadPoolExecutor(len(dfs)) as pool:
-        return list(pool.map(write, dfs, labels))
+        return list(pool.map(write, dfs, paths))
 
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged, once its results have been written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(
-        f"{shared_folder(spark)}/ordermill-{spark.sparkContext.applicationId}"
-    )
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = hadoop_path(spark, _application_folder(spark))
+    files.delete(path, True)

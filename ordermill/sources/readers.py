@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.text import trim_control
+from ordermill.functions.values import parse_date_clamped
 from ordermill.schema import ORDER_COLUMNS
+from ordermill.sources.writers import replace_folder
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -34,6 +36,18 @@ def field_count(line: Column) -> Column:
     return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
 
 
+def _header_line(line: Column) -> Column:
+    return line.startswith("index,Order ID")
+
+
+def _header_row(date: Column) -> Column:
+    return trim_control(date).eqNullSafe("Date")
+
+
+def _reaches_state(line: Column) -> Column:
+    return field_count(line) > ORDER_COLUMNS.index("ship-state")
+
+
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Order columns from a text column of CSV lines.
 
@@ -41,14 +55,50 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     out.  A line whose state is empty stays; whether it counts is up to the analysis.
     """
     line = F.col(column)
-    header = trim_control(F.col("Date")).eqNullSafe("Date")
-    reaches_state = field_count(line) > ORDER_COLUMNS.index("ship-state")
     return (
-        lines.filter((trim_control(line) != "") & ~line.startswith("index,Order ID") & reaches_state)
+        lines.filter((trim_control(line) != "") & ~_header_line(line) & _reaches_state(line))
         # as a generator the parser runs once per line; a filter on its columns would repeat it
         .select(F.inline(F.array(split_line(line))))
-        .filter(~header)
+        .filter(~_header_row(F.col("Date")))
+    )
+
+
+def judged_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """`lines` with the struct ``order`` of the parsed columns and, where it is left out, the ``reason``.
+
+    Reasons: "blank", "header", "short" (the line ends before the state), and "date": no day that the
+    analyses can read.  The rows without a reason are those of `parse_lines` but for the last.
+    """
+    line = F.col(column)
+    parsed = lines.select("*", F.inline(F.array(F.struct(split_line(line).alias("order")))))
+    date = F.col("order").getField("Date")
+    reason = (
+        F.when(line.isNull() | (trim_control(line) == ""), "blank")
+        .when(_header_line(line) | (_reaches_state(line) & _header_row(date)), "header")
+        .when(~_reaches_state(line), "short")
+        .when(parse_date_clamped(trim_control(date)).isNull(), "date")
     )
+    return parsed.withColumn("reason", reason)
+
+
+def land_lines(spark: SparkSession, path: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Land CSV lines as Parquet in one pass: the order table, and the lines left out of it.
+
+    A line left out comes with its reason, its file and the offset and length of the block of the file
+    that a task read it from.  Kept and left out lines together are the lines of the files.  The
+    landed table takes the place of what was in ``folder`` once it is whole.
+    """
+    place = {"file": "file_path", "block_start": "file_block_start", "block_length": "file_block_length"}
+    source = spark.read.text(path).select("value", *[F.col(f"_metadata.{c}").alias(name) for name, c in place.items()])
+    judged = judged_lines(source).withColumn("kept", F.col("reason").isNull())
+    # what a row does not need is null, and costs next to nothing in its column file
+    left_out = [F.when(~F.col("kept"), F.col(c)).alias(f"_{c}") for c in ("reason", *place, "value")]
+    orders = [F.when(F.col("kept"), F.col("order").getField(c)).alias(c) for c in ORDER_COLUMNS]
+    landed = judged.select("kept", *left_out, *orders)
+    replace_folder(spark, folder, lambda fresh: landed.write.partitionBy("kept").parquet(fresh))
+    table = spark.read.schema(landed.schema).parquet(folder)
+    rejected = [F.col(f"_{c}").alias("line" if c == "value" else c) for c in ("reason", *place, "value")]
+    return table.where("kept").select(*[f"`{c}`" for c in ORDER_COLUMNS]), table.where("not kept").select(*rejected)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -1,9 +1,12 @@
+import subprocess
+import sys
+import time
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import ROOT, rows
 from ordermill import session
 
 
@@ -27,10 +30,46 @@ def test_a_local_master_may_use_a_temporary_folder():
     assert folder == session.shared_folder(fake("local[4]"))
 
 
-def test_folders_are_fresh_and_belong_to_the_application():
-    spark = fake("yarn", "hdfs://shared")
+def test_folders_are_fresh_and_belong_to_the_application(spark):
     first, second = session.new_folder(spark, "x"), session.new_folder(spark, "x")
-    assert first != second and first.startswith("hdfs://shared/ordermill-app-1/x-")
+    own = f"{session.shared_folder(spark)}/ordermill-{spark.sparkContext.applicationId}"
+    assert first != second and first.startswith(f"{own}/x-")
+
+
+def paths_below(spark, folder):
+    files, path = session.hadoop_path(spark, folder)
+    return {entry.getPath().getName() for entry in files.listStatus(path)} if files.exists(path) else set()
+
+
+def test_a_scope_deletes_what_was_staged_in_it(spark):
+    outer = session.stage(spark.range(3), "outer")
+    own = f"{session.shared_folder(spark)}/ordermill-{spark.sparkContext.applicationId}"
+    before = paths_below(spark, own)
+    with session.staging(spark):
+        a, b = session.stage_all(a=spark.range(4), b=spark.range(5))
+        with session.staging(spark):
+            assert session.stage(spark.range(6), "inner").count() == 6
+        assert (a.count(), b.count(), len(paths_below(spark, own) - before)) == (4, 5, 1)
+    assert paths_below(spark, own) == before and outer.count() == 3
+    with pytest.raises(ZeroDivisionError), session.staging(spark):
+        session.stage(spark.range(4), "lost")
+        1 / 0
+    assert paths_below(spark, own) == before
+
+
+def test_an_application_leaves_nothing_behind(tmp_path):
+    code = (
+        "import sys; from ordermill.session import local_session, stage\n"
+        "spark = local_session(1, 1, '512m'); spark.sparkContext.setCheckpointDir(sys.argv[1])\n"
+        "print(stage(spark.range(3), 'left').count(), spark.sparkContext.applicationId)\n"
+    )
+    run = subprocess.run([sys.executable, "-c", code, str(tmp_path)], capture_output=True, text=True, cwd=ROOT, timeout=120)
+    assert run.stdout.startswith("3 ")
+    for _ in range(50):  # the JVM ends after the Python process
+        if not list(tmp_path.rglob("ordermill-*")):
+            break
+        time.sleep(0.2)
+    assert list(tmp_path.rglob("ordermill-*")) == []
 
 
 def test_stage_cuts_the_lineage_and_keeps_the_schema(spark):

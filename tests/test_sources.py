@@ -147,3 +147,64 @@ def test_flat_file_does_not_go_into_a_folder(spark, tmp_path):
     with pytest.raises(ValueError, match="is a folder"):
         writers.write_flat_file(spark.range(1), str(tmp_path))
     assert list(tmp_path.iterdir()) == []
+
+
+def fails_half_way(spark):
+    # the second of two tasks fails once the first has written its file
+    broken = F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("broken half-way")).cast("long"))
+    return spark.range(0, 8, 1, 2).select(broken.alias("id"))
+
+
+@pytest.mark.parametrize("kind", ["parquet", "csv", "flat"])
+def test_a_failed_write_leaves_the_old_result(spark, tmp_path, kind):
+    path = str(tmp_path / "out")
+    write = {"parquet": writers.write_parquet, "csv": writers.write_csv, "flat": writers.write_flat_file}[kind]
+    write(spark.range(5), path)
+    with pytest.raises(Exception, match="broken half-way"):
+        write(fails_half_way(spark), path)
+    old = spark.read.csv(path, header=True) if kind == "csv" else spark.read.parquet(path)
+    assert old.count() == 5
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["out"]
+
+
+def test_a_frame_may_replace_the_folder_it_reads(spark, tmp_path):
+    path = str(tmp_path / "out")
+    writers.write_parquet(spark.range(5), path)
+    writers.write_parquet(spark.read.parquet(path).union(spark.range(5, 7)), path)
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_a_replacement_that_stopped_between_its_renames_is_undone(spark, tmp_path):
+    path, old = tmp_path / "out", tmp_path / f".out.old-{'0' * 32}"
+    writers.write_parquet(spark.range(5), str(path))
+    path.rename(old)
+    writers.restore(spark, str(path))
+    assert spark.read.parquet(str(path)).count() == 5 and not old.exists()
+    # one that stopped before the old folder was deleted is cleaned up
+    writers.write_parquet(spark.range(9), str(old))
+    writers.restore_inside(spark, str(tmp_path))
+    assert spark.read.parquet(str(path)).count() == 5 and not old.exists()
+
+
+def test_lines_left_out_are_landed_with_place_and_reason(spark, tmp_path):
+    good = ",".join(["7", "o", "04-01-22", "Shipped", *[""] * 12, "panjim", "goa", "", "IN"])
+    lines = {
+        "a": [",".join(ORDER_COLUMNS), good, "", " \t", "1,2,3", good.replace("04-01-22", "04-32-22")],
+        "b": [",".join(["row", *ORDER_COLUMNS[1:]]), good.replace("04-01-22", "02-31-22"), good.replace("04-01-22", "")],
+    }
+    for name, content in lines.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join(content) + "\n")
+    kept, left_out = readers.land_lines(spark, str(tmp_path / "*.csv"), str(tmp_path / "landed"))
+    assert kept.columns == ORDER_COLUMNS and rows(kept, "Date", "ship-state") == [("02-31-22", "goa"), ("04-01-22", "goa")]
+    found = [(r.file[-5:], r.reason, r.line) for r in left_out.collect()]
+    assert sorted(found) == sorted(
+        [("a.csv", "header", lines["a"][0]), ("a.csv", "blank", ""), ("a.csv", "blank", " \t"), ("a.csv", "short", "1,2,3"),
+         ("a.csv", "date", lines["a"][5]), ("b.csv", "header", lines["b"][0]), ("b.csv", "date", lines["b"][2])]
+    )
+    assert {(r.block_start, r.block_length > 0) for r in left_out.collect()} == {(0, True)}
+    assert kept.count() + left_out.count() == sum(map(len, lines.values()))
+    # but for the unreadable dates, the lines are those of the plain reader
+    plain = readers.read_lines(spark, str(tmp_path / "*.csv"))
+    assert plain.count() == kept.count() + sum(reason == "date" for _, reason, _ in found)
+    (tmp_path / "none.csv").write_text("")
+    assert [f.count() for f in readers.land_lines(spark, str(tmp_path / "none.csv"), str(tmp_path / "landed"))] == [0, 0]
