@@ -7,14 +7,10 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ordermill.plans import reports
-from ordermill.session import drop_staged, stage
+from ordermill.session import stage, staging
 from ordermill.sources import orders, readers, writers
 
 
-# The typed projection is landed once where an analysis reads it several times: from CSV with line
-# ends inside fields, a scan is what costs most.
-
-
 def _popular_sizes(raw):
     return reports.dates_as_text(stage(reports.popular_sizes(orders.window_orders(raw)), "sizes"))
 
@@ -24,16 +20,16 @@ def _median_variety(raw):
 
 
 def _cancelled_share(raw):
-    return reports.cancelled_share(stage(orders.promo_orders(raw), "typed"))
+    return reports.cancelled_share(orders.promo_orders(raw))
 
 
 def _promo_percentiles(raw):
-    return reports.promo_percentiles(orders.sku_orders(raw))  # stages its input itself
+    return reports.promo_percentiles(orders.sku_orders(raw))
 
 
-# name -> (analysis of the raw order table, output format)
+# name -> (analysis of the raw order table, output format); an analysis may count rows on the way
 ANALYSES = {
-    "clean-states": (reports.clean_states, "csv"),
+    "clean-states": (reports.clean_states_counted, "csv"),
     "popular-sizes": (_popular_sizes, "csv"),
     "median-variety": (_median_variety, "csv"),
     "cancelled-share": (_cancelled_share, "parquet"),
@@ -56,16 +52,17 @@ def main(argv: list[str] | None = None) -> None:
     else:
         raw = readers.read_csv(spark, args.input, multi_line=not args.splittable)
     analysis, file_format = ANALYSES[args.analysis]
-    try:
+    with staging(spark):
         result = analysis(raw)
+        result, counts = result if isinstance(result, tuple) else (result, None)
         if args.flat:
             writers.write_flat_file(result, args.output, file_format)
         elif file_format == "csv":
             writers.write_csv(result, args.output)
         else:
             writers.write_parquet(result, args.output)
-    finally:
-        drop_staged(spark)
+        if counts is not None:
+            print(", ".join(f"{name} {n}" for name, n in counts.get.items()))
 
 
 if __name__ == "__main__":

@@ -8,11 +8,14 @@ a sku with a third of all orders has as many bins as it has distinct promotion c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordermill.session import stage
+
 PROBABILITIES = (0.90, 0.80)
 ACCURACY = 10_000
 TOLERANCE = 0.0001
@@ -30,8 +33,21 @@ def deviation_name(cut: str) -> str:
     return cut.replace("_thresh_", "_stddev_")
 
 
-def promo_bins(prepared: DataFrame) -> DataFrame:
-    """Per (sku, month, n_promos): n, n_amounts, mean_amount, and the squared deviations sq_dev."""
+def sketch_size(accuracy: int) -> int:
+    """The k of a KLL sketch whose ranks are off by no more than 1 / accuracy (at 99 % confidence).
+
+    Fixed values: the published error of the sketch is 2.296 / k ** 0.9723, and k lies in 8 ... 65535.
+    """
+    return min(max(math.ceil((2.296 * accuracy) ** (1 / 0.9723)), 8), 65_535)
+
+
+def promo_bins(prepared: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """Per (sku, month, n_promos): n, n_amounts, mean_amount, and the squared deviations sq_dev.
+
+    With an accuracy the bins carry a mergeable quantile sketch of their counts, so that bins and
+    approximate percentiles come from one scan.
+    """
+    sketch = [] if accuracy is None else [_sketch(F.col("n_promos"), accuracy).alias("sketch")]
     return (
         prepared.groupBy(*GROUP, "n_promos")
         .agg(
@@ -39,6 +55,7 @@ def promo_bins(prepared: DataFrame) -> DataFrame:
             F.count("amount").alias("n_amounts"),
             F.avg("amount").alias("mean_amount"),
             F.var_pop("amount").alias("var_amount"),
+            *sketch,
         )
         .withColumn("sq_dev", F.col("var_amount") * F.col("n_amounts"))
         .drop("var_amount")
@@ -58,6 +75,69 @@ def approx_thresholds(
     )
 
 
+def _sketch(value: Column, accuracy: int) -> Column:
+    return F.kll_sketch_agg_bigint(value, F.lit(sketch_size(accuracy)))
+
+
+def _merged(sketch: str, accuracy: int) -> Column:
+    return F.kll_merge_agg_bigint(F.col(sketch), F.lit(sketch_size(accuracy)))
+
+
+def _quantiles(sketch: Column, probabilities: Sequence[float]) -> list[Column]:
+    """The smallest values whose rank reaches each probability; counts of codes are whole numbers."""
+    found = F.kll_sketch_get_quantile_bigint(sketch, F.array(*[F.lit(float(p)) for p in probabilities]))
+    return [found[i].cast("int") for i in range(len(probabilities))]
+
+
+def promo_sketches(prepared: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+    """A quantile sketch of n_promos and the number of orders per (sku, month), a column to be stored.
+
+    Stored sketches of further orders of the same groups are merged like those of further groups.
+    """
+    return prepared.groupBy(*GROUP).agg(
+        _sketch(F.col("n_promos"), accuracy).alias("sketch"), F.count("*").alias("n_orders")
+    )
+
+
+def sketched_thresholds(
+    sketches: DataFrame, keys: Sequence[Column | str], probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
+) -> DataFrame:
+    """Approximate percentiles per ``keys`` of stored sketches, merged: the orders are not read again."""
+    merged = sketches.groupBy(*keys).agg(
+        _merged("sketch", accuracy).alias("_merged"), F.sum("n_orders").alias("total_group_orders")
+    )
+    cuts = zip(_quantiles(F.col("_merged"), probabilities), cut_names("approx", probabilities))
+    return merged.select("*", *[cut.alias(name) for cut, name in cuts]).drop("_merged")
+
+
+def with_sketched_thresholds(
+    bins: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
+) -> DataFrame:
+    """Add the approximate percentiles of the bins' merged sketches, by the windows that the exact ones use."""
+    merged = bins.withColumn("_merged", _merged("sketch", accuracy).over(Window.partitionBy(*GROUP)))
+    cuts = dict(zip(cut_names("approx", probabilities), _quantiles(F.col("_merged"), probabilities)))
+    return merged.withColumns(cuts).drop("_merged", "sketch")
+
+
+def rank_errors(bins: DataFrame, thresholds: DataFrame, probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
+    """Per (sku, month), how far the approximate thresholds lie from their probabilities: the part of the
+    orders between the rank of the threshold and the rank that was asked for, 0.0 if it holds that rank."""
+    names = cut_names("approx", probabilities)
+    joined = bins.select(*GROUP, "n_promos", "n").join(thresholds.select(*GROUP, *names), GROUP)
+    parts = [F.sum("n").alias("orders")]
+    for i, name in enumerate(names):
+        parts.append(F.sum(F.when(F.col("n_promos") < F.col(name), F.col("n"))).alias(f"below{i}"))
+        parts.append(F.sum(F.when(F.col("n_promos") <= F.col(name), F.col("n"))).alias(f"upto{i}"))
+    counted = joined.groupBy(*GROUP).agg(*parts)
+    errors = []
+    for i, (name, p) in enumerate(zip(names, probabilities)):
+        wanted = F.ceil(F.col("orders") * F.lit(float(p)))
+        low, high = F.coalesce(f"below{i}", F.lit(0)) + 1, F.coalesce(f"upto{i}", F.lit(0))
+        error = F.greatest(low - wanted, wanted - high, F.lit(0)) / F.col("orders")
+        errors.append(error.alias(name.replace("_thresh_approx", "_rank_error")))
+    return counted.select(*GROUP, "orders", *errors)
+
+
 def with_exact_thresholds(bins: DataFrame, probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
     """Add the nearest-rank percentiles of n_promos: the value at rank ceil(p * n) of its group."""
     group = Window.partitionBy(*GROUP)
@@ -70,9 +150,61 @@ def with_exact_thresholds(bins: DataFrame, probabilities: Sequence[float] = PROB
     return ranked.withColumns(cuts).drop("rank", "orders")
 
 
-def with_approx_thresholds(bins: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Add `approx_thresholds` to the bins of their group."""
-    return bins.join(thresholds.drop("total_group_orders"), GROUP)
+def wide_thresholds(bins: DataFrame, probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
+    """`with_exact_thresholds` for groups with very many distinct values, as one row per (sku, month).
+
+    No task sees the values of a group in order.  The bins are dealt by ranges of (sku, month, n_promos) and
+    staged; the totals of the ranges are few, and their running sums tell which range holds a wanted
+    rank.  Only inside these ranges are values counted one by one.
+    """
+    dealt = bins.select(*GROUP, "n_promos", "n").repartitionByRange(*GROUP, "n_promos")
+    ranges = stage(dealt.withColumn("range", F.spark_partition_id()), "ranges")
+    group = Window.partitionBy(*GROUP)
+    before = F.coalesce(F.sum("total").over(group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = ranges.groupBy(*GROUP, "range").agg(F.sum("n").alias("total"))
+    totals = totals.withColumns({"before": before, "orders": F.sum("total").over(group)})
+    names = cut_names("exact", probabilities)
+    wanted = [
+        F.struct(F.lit(name).alias("cut"), F.ceil(F.col("orders") * F.lit(float(p))).alias("rank"))
+        for name, p in zip(names, probabilities)
+    ]
+    sought = totals.select("*", F.inline(F.array(*wanted))).where("rank > before and rank <= before + total")
+    sought = stage(sought.select(*GROUP, "range", "cut", (F.col("rank") - F.col("before")).alias("left")), "sought-ranks")
+    inside = Window.partitionBy(*GROUP, "range").orderBy("n_promos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    holding = ranges.join(sought.select(*GROUP, "range").distinct(), [*GROUP, "range"], "left_semi")
+    counted = holding.withColumn("upto", F.sum("n").over(inside))
+    found = counted.join(sought, [*GROUP, "range"]).where("upto >= left")
+    return found.groupBy(*GROUP).agg(*[F.min(F.when(F.col("cut") == name, F.col("n_promos"))).alias(name) for name in names])
+
+
+def wide_percentiles(prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES) -> DataFrame:
+    """`exact_percentiles` for groups with very many distinct values of n_promos.
+
+    Thresholds and means are few and joined to the bins, which partial aggregates then fold: adaptive
+    execution may split the bins of a group, where a window could not.
+    """
+    bins = stage(promo_bins(prepared), "bins")
+    cuts = cut_names("exact", probabilities)
+    located = stage(wide_thresholds(bins, probabilities), "thresholds")
+    weight, mean = F.col("n_amounts"), F.col("mean_amount")
+    above = {cut: F.col("n_promos") >= F.col(cut) for cut in cuts}
+    counts = [F.sum(F.when(above[cut], weight)).alias(f"{cut}_n") for cut in cuts]
+    sums = [F.sum(F.when(above[cut], weight * mean)).alias(f"{cut}_sum") for cut in cuts]
+    means = bins.join(located, GROUP).groupBy(*GROUP, *cuts).agg(*counts, *sums)
+    means = means.withColumns({f"{cut}_mean": F.try_divide(f"{cut}_sum", f"{cut}_n") for cut in cuts})
+    means = stage(means, "means")
+
+    def squares(cut: str) -> Column:
+        shift = mean - F.col(f"{cut}_mean")
+        return F.sum(F.when(above[cut], F.col("sq_dev") + weight * shift * shift)).alias(f"{cut}_sq")
+
+    def deviation(cut: str) -> Column:
+        spread = F.coalesce(F.sqrt(F.try_divide(f"{cut}_sq", f"{cut}_n")), F.lit(0.0))
+        return F.when(F.coalesce(f"{cut}_n", F.lit(0)) < 2, 0.0).otherwise(spread).alias(deviation_name(cut))
+
+    kept = [*GROUP, *cuts, *[f"{cut}_n" for cut in cuts]]
+    folded = bins.join(means, GROUP).groupBy(*kept).agg(*[squares(cut) for cut in cuts])
+    return folded.select(*GROUP, *cuts, *[deviation(cut) for cut in cuts])
 
 
 def stddev_above(bins: DataFrame, cuts: Sequence[str]) -> DataFrame:
@@ -110,7 +242,7 @@ def approx_percentiles(
     prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Approximate thresholds, number of orders and standard deviations per (sku, month)."""
-    bins = with_approx_thresholds(promo_bins(prepared), approx_thresholds(prepared, probabilities, accuracy))
+    bins = with_sketched_thresholds(promo_bins(prepared, accuracy), probabilities, accuracy)
     return stddev_above(bins, cut_names("approx", probabilities))
 
 
@@ -148,11 +280,11 @@ def compared_percentiles(
 ) -> DataFrame:
     """The same as `compare` of both methods, from one set of bins that carries all thresholds.
 
-    ``prepared`` is read once for the bins and once, without amounts, for the sketch.  The bins are
-    shuffled and sorted by group once, for ranks, means and deviations alike.
+    ``prepared`` is read once: the bins carry the sketches.  They are shuffled and sorted by group once,
+    for ranks, sketches, means and deviations alike.
     """
-    ranked = with_exact_thresholds(promo_bins(prepared), probabilities)
-    bins = with_approx_thresholds(ranked, approx_thresholds(prepared, probabilities, accuracy))
+    ranked = with_exact_thresholds(promo_bins(prepared, accuracy), probabilities)
+    bins = with_sketched_thresholds(ranked, probabilities, accuracy)
     cuts = cut_names("approx", probabilities) + cut_names("exact", probabilities)
     return with_differences(stddev_above(bins, cuts), probabilities)
 

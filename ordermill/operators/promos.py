@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ordermill.functions.text import code_list, code_name, present
 from ordermill.functions.values import percentage
 
+# the columns of `orders.promo_orders` that the operators below read
+COLUMNS = [
+    "row_id", "order_date", "status", "fulfilment", "courier_status", "service_level", "city", "state", "amount", "promotion_ids",
+]
 MIN_ACTIVE_DAYS = 2
 MIN_VALID_CODES = 3
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ordermill.functions.values import month_text
@@ -38,6 +38,28 @@ def clean_states(
     return spell_states(df, aliases, state, city, fixes).dropna(subset=[state])
 
 
+def clean_states_counted(
+    df: DataFrame,
+    aliases: DataFrame | None = None,
+    state: str = "ship-state",
+    city: str = "ship-city",
+    fixes: Sequence[tuple[str, str, str]] = CITY_FIXES,
+) -> tuple[DataFrame, Observation]:
+    """`clean_states` and its counts rows_in, rows_out and rows_removed, taken on the way.
+
+    The observation has them once the frame has been written or collected; no scan is made for them.
+    """
+    spelled = spell_states(df, aliases, state, city, fixes)
+    counts = Observation("clean states")
+    seen = spelled.observe(
+        counts,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count(state).alias("rows_out"),
+        F.count_if(F.col(state).isNull()).alias("rows_removed"),
+    )
+    return seen.dropna(subset=[state]), counts
+
+
 def popular_sizes(
     orders: DataFrame,
     cutoff: float | None = windows.VOLUME_CUTOFF,
@@ -72,8 +94,10 @@ def qualified_orders(
 ) -> DataFrame:
     """The cancelled standard orders with n_valid, state_avg and qualified.
 
-    The code lifespans and state averages are staged: the planner then joins by their real sizes.
+    ``orders`` are read once, into a staged copy of the columns that count.  The code lifespans and state
+    averages are staged too: the planner then joins by their real sizes.
     """
+    orders = stage(orders.select(*promos.COLUMNS), "orders")
     lifespans, thresholds = stage_all(
         lifespans=promos.promo_lifespan(orders), thresholds=promos.state_threshold(orders)
     )
@@ -96,10 +120,8 @@ def promo_percentiles(
     """Approximate and exact thresholds and deviations per (sku, month), with their differences,
     in the order of sku and month.
 
-    ``prepared`` is staged, as bins and sketch both read it, and so its source is read once.  The
-    result is staged before it is ordered, as a total order runs its input twice, once to find the
-    ranges.
+    ``prepared`` is read once.  The result is staged before it is ordered, as a total order runs its
+    input twice, once to find the ranges.
     """
-    prepared = stage(prepared, "prepared")
     compared = stage(percentiles.compared_percentiles(prepared, probabilities, accuracy), "percentiles")
     return compared.orderBy(*percentiles.GROUP).withColumn("month", month_text(F.col("month")))

@@ -67,3 +67,10 @@ def test_known_states(spark):
 def test_blank_but_present_state_is_kept(spark):
     blank = spark.createDataFrame([("  ", "x")], "`ship-state` string, `ship-city` string")
     assert rows(reports.clean_states(blank)) == [("", "x")]
+
+
+def test_counts_on_the_way(frame):
+    """The counts come from the very write of the rows, and equal the summary of a scan of their own."""
+    cleaned, counts = reports.clean_states_counted(frame)
+    assert rows(cleaned, "ship-state", "ship-city") == rows(reports.clean_states(frame), "ship-state", "ship-city")
+    assert counts.get == {"rows_in": len(GOLDEN) + len(MISSING), "rows_out": len(GOLDEN), "rows_removed": len(MISSING)}

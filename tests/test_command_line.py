@@ -18,9 +18,10 @@ ORDERS = [
 ]
 
 
-def test_analyses_from_file_to_file(spark, tmp_path):
+def test_analyses_from_file_to_file(spark, tmp_path, capsys):
     raw, clean = order_file(tmp_path / "raw.csv", ORDERS), str(tmp_path / "clean.csv")
     main(["clean-states", raw, clean, "--flat"])
+    assert "rows_in 4, rows_out 3, rows_removed 1" in capsys.readouterr().out
     assert {r["ship-state"] for r in readers.read_csv(spark, clean).collect()} == {"GOA"}
 
     main(["popular-sizes", clean, str(tmp_path / "sizes.csv"), "--flat", "--splittable"])

@@ -172,3 +172,75 @@ def test_large_group_within_the_accuracy_of_the_sketch(spark):
     )
     cut = percentiles.approx_thresholds(frame).first()
     assert abs(cut.p90_thresh_approx - 53_999) <= 6 and abs(cut.p80_thresh_approx - 47_999) <= 6
+
+
+def test_sketches_keep_to_their_accuracy(spark):
+    """Measured rank errors on a group too large for its sketches to hold, at two accuracies."""
+    frame = spark.range(200_000).select(
+        F.lit("K").alias("sku"),
+        F.to_date(F.lit("2022-04-01")).alias("month"),
+        (F.col("id") * 7919 % 20_011).cast("int").alias("n_promos"),
+        F.lit(1.0).alias("amount"),
+    )
+    bins = percentiles.promo_bins(frame)
+    for accuracy in (100, 1000):
+        approx = percentiles.sketched_thresholds(percentiles.promo_sketches(frame, accuracy), percentiles.GROUP, accuracy=accuracy)
+        errors = percentiles.rank_errors(bins, approx).first()
+        assert errors.orders == 200_000
+        assert max(errors.p90_rank_error, errors.p80_rank_error) <= 1 / accuracy
+    off = approx.withColumn("p90_thresh_approx", F.lit(9_000))
+    assert percentiles.rank_errors(bins, off).first().p90_rank_error > 0.4
+
+
+def test_stored_sketches_merge_to_the_sketch_of_all(spark):
+    data = random_groups(8)
+    halves = prepared_from(spark, data[::2]), prepared_from(spark, data[1::2])
+    stored = percentiles.promo_sketches(halves[0]).union(percentiles.promo_sketches(halves[1]))
+    merged = percentiles.sketched_thresholds(stored, percentiles.GROUP)
+    expected = percentiles.approx_thresholds(prepared_from(spark, data))
+    assert rows(merged, *expected.columns) == rows(expected)
+    by_month = percentiles.sketched_thresholds(stored, ["month"]).first()
+    assert by_month.total_group_orders == len(data)
+    assert by_month.p90_thresh_approx == sorted(n for *_, n, _ in data)[math.ceil(0.9 * len(data)) - 1]
+
+
+def test_sketch_size_follows_the_accuracy():
+    assert [percentiles.sketch_size(a) for a in (1, 1_000, 10_000, 10**9)] == [8, 2863, 30_565, 65_535]
+
+
+@pytest.mark.parametrize("seed", [1, 5])
+def test_wide_percentiles_equal_the_exact_ones(spark, seed):
+    data = random_groups(seed) + [("wide", "2022-04-01", i, float(i % 97)) for i in range(4000)]
+    data += [("alone", "2022-04-01", 3, None), ("nan", "2022-04-01", 1, float("nan"))]
+    frame = prepared_from(spark, data)
+    cut = lambda df: df.select("sku", *[F.round(c, 6) for c in df.columns if c.startswith("p")])
+    assert rows(cut(percentiles.wide_percentiles(frame))) == rows(cut(percentiles.exact_percentiles(frame)))
+    assert percentiles.wide_percentiles(frame.limit(0)).count() == 0
+
+
+def test_a_group_with_a_million_values_makes_no_large_task(spark):
+    """Its bins are dealt over ranges; the thresholds are those of percentile_disc."""
+    frame = spark.range(1_000_000).select(
+        F.lit("K").alias("sku"),
+        F.to_date(F.lit("2022-04-01")).alias("month"),
+        (F.col("id") * 7919 % 1_000_003).alias("n_promos"),
+        (F.col("id") % 1000).cast("double").alias("amount"),
+    )
+    default = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    staged = {}
+    write = percentiles.stage
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        percentiles.stage = lambda df, label: staged.setdefault(label, write(df, label))
+        result = percentiles.wide_thresholds(percentiles.promo_bins(frame)).first()
+    finally:
+        percentiles.stage = write
+        for name, value in default.items():
+            spark.conf.set(name, value)
+    sizes = [r["count"] for r in staged["ranges"].groupBy("range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 1_000_000 / 16 and staged["sought-ranks"].count() == 2
+    disc = "CAST(percentile_disc({}) WITHIN GROUP (ORDER BY n_promos) AS BIGINT)"
+    frame.createOrReplaceTempView("many_values")
+    expected = spark.sql(f"SELECT {disc.format(0.9)}, {disc.format(0.8)} FROM many_values").first()
+    assert (result.p90_thresh_exact, result.p80_thresh_exact) == tuple(expected)
