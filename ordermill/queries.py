@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ordermill.functions.text import promo_count
 from ordermill.functions.values import month_text
 from ordermill.operators import cleaning, percentiles, promos, variety, windows
-from ordermill.plans import reports
+from ordermill.plans import loads, reports
 from ordermill.session import new_folder, stage
 from ordermill.sources import orders, readers, star, writers
+from ordermill.streaming import upserts
 from ordermill.streaming import windows as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,15 @@ def orders_from_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _dates_as_strings(orders.window_orders(readers.read_lines(spark, path)), "order_date")
 
 
+def line_fates(spark: SparkSession, folder: str) -> DataFrame:
+    """How many CSV lines became orders, and how many were left out for which reason."""
+    path = new_folder(spark, "lines")
+    star.order_lines(spark, folder).write.text(path)
+    kept, left_out = readers.land_lines(spark, path, new_folder(spark, "landed"))
+    fates = kept.select(F.lit("kept").alias("fate")).unionByName(left_out.select(F.col("reason").alias("fate")))
+    return fates.groupBy("fate").agg(F.count("*").alias("n_lines"))
+
+
 # --- state names -----------------------------------------------------------------------------
 
 
@@ -86,6 +96,14 @@ def clean_summary(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.cleaning_summary(_spelled(spark, folder), "state")
 
 
+def clean_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows in, out and removed, as the cleaning reports them while it writes."""
+    customers = star.dirty_state(spark, folder).withColumnRenamed("state_raw", "state")
+    cleaned, counts = reports.clean_states_counted(customers, star.state_alias(spark, folder), "state", "city", CITY_FIXES)
+    cleaned.write.parquet(new_folder(spark, "clean"))
+    return spark.createDataFrame([counts.get], "rows_in long, rows_out long, rows_removed long")
+
+
 # --- sliding windows -------------------------------------------------------------------------
 
 
@@ -121,6 +139,17 @@ def window_top_size(spark: SparkSession, folder: str) -> DataFrame:
     return _dates_as_strings(reports.popular_sizes(star.sales_line(spark, folder), cutoff=None), "window_date")
 
 
+def window_two_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """The same sizes from two loads: the second brings the later half and, late, a tenth of the first."""
+    lines, root = star.sales_line(spark, folder), new_folder(spark, "loads")
+    late = F.pmod(F.xxhash64("sku", "order_date"), F.lit(10)) == 0
+    second = (F.col("order_date") >= "1998-06-01") | late
+    for number, load in enumerate([lines.where(~second), lines.where(second)]):
+        loads.add_load(load, root, number)
+        loads.refresh(spark, root, cutoff=None)
+    return _dates_as_strings(loads.popular_sizes(spark, root), "window_date")
+
+
 # --- style variety ---------------------------------------------------------------------------
 
 
@@ -165,7 +194,7 @@ def cancelled_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def valid_promo_count(spark: SparkSession, folder: str) -> DataFrame:
-    frame = _promo_orders(spark, folder)
+    frame = stage(_promo_orders(spark, folder).select(*promos.COLUMNS), "orders")
     lifespans = stage(promos.promo_lifespan(frame), "lifespans")
     counted = promos.with_valid_count(promos.cancelled_candidates(frame), lifespans)
     return counted.filter("n_valid > 0").select("row_id", "n_valid")
@@ -208,6 +237,22 @@ def pct_exact(spark: SparkSession, folder: str) -> DataFrame:
     return _months_as_text(exact.select("sku", "month", "p90_thresh_exact", "p80_thresh_exact"))
 
 
+def pct_sketch_year(spark: SparkSession, folder: str) -> DataFrame:
+    """Approximate percentiles per sku and year, merged from the stored sketches of its months."""
+    sketches = stage(percentiles.promo_sketches(_prepared(spark, folder)), "sketches")
+    year = F.year("month").alias("year")
+    return percentiles.sketched_thresholds(sketches, ["sku", year])
+
+
+def pct_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Nearest-rank percentiles of the price in cents per sku and year: nearly as many values as orders."""
+    prices = _prepared(spark, folder).select(
+        "sku", F.trunc("month", "year").alias("month"), F.round(F.col("amount") * 100).cast("long").alias("n_promos"), "amount"
+    )
+    wide = percentiles.wide_percentiles(prices)
+    return _rounded(_months_as_text(wide), 4, "p90_stddev_exact", "p80_stddev_exact")
+
+
 def stddev_above_approx(spark: SparkSession, folder: str) -> DataFrame:
     approx = percentiles.approx_percentiles(_prepared(spark, folder))
     return _rounded(_months_as_text(approx), 4, "p90_stddev_approx", "p80_stddev_approx")
@@ -284,20 +329,37 @@ def stream_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
     return _dates_as_strings(spark.read.schema(totals.schema).parquet(path), "window_date")
 
 
+def stream_open_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Open windows too: the events arrive in two batches of any times, and the second arrives twice."""
+    root, source = new_folder(spark, "live-windows"), new_folder(spark, "events")
+    star.table(spark, folder, "events").repartition(2, "event_id").write.parquet(f"{source}/events.parquet")
+    stream = upserts.as_window_orders(streaming.read_orders(spark, source, files_per_batch=1))
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2 if batch_id else 1):
+            upserts.put_batch(batch, batch_id, root, cutoff=None)
+
+    upserts.start(stream, put, new_folder(spark, "stream"), available_now=True).awaitTermination()
+    return _dates_as_strings(loads.window_totals(spark, root), "window_date")
+
+
 QUERIES: dict[str, Query] = {
     "orders_from_csv": orders_from_csv,
     "orders_from_lines": orders_from_lines,
+    "line_fates": line_fates,
     "clean_states": clean_states,
     "state_fix_by_city": state_fix_by_city,
     "unmapped_states": unmapped_states,
     "distinct_states": distinct_states,
     "clean_summary": clean_summary,
+    "clean_counts": clean_counts,
     "shipped_state_volume": shipped_state_volume,
     "state_window_length": state_window_length,
     "window_input": window_input,
     "window_triplets": window_triplets,
     "window_size_variance": window_size_variance,
     "window_top_size": window_top_size,
+    "window_two_loads": window_two_loads,
     "sku_max_rank": sku_max_rank,
     "style_variety": style_variety,
     "median_variety": median_variety,
@@ -314,6 +376,8 @@ QUERIES: dict[str, Query] = {
     "prepared_sku_month": prepared_sku_month,
     "pct_approx": pct_approx,
     "pct_exact": pct_exact,
+    "pct_sketch_year": pct_sketch_year,
+    "pct_wide": pct_wide,
     "stddev_above_approx": stddev_above_approx,
     "stddev_above_exact": stddev_above_exact,
     "pct_compare": pct_compare,
@@ -325,4 +389,5 @@ QUERIES: dict[str, Query] = {
     "stddev_nonzero": stddev_nonzero,
     "stddev_profile": stddev_profile,
     "stream_sliding_window": stream_sliding_window,
+    "stream_open_windows": stream_open_windows,
 }
