@@ -11,6 +11,7 @@ from ordermill.session import stage
 
 __all__ = ["ascii_lower", "let", "merged_spans", "numbered", "stage", "table", "text_id", "two_hashes", "unused"]
 
+SALTS = 1024  # fixed: numbers must not depend on a setting of the session
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,12 +50,12 @@ def two_hashes(*columns: Column) -> Column:
 def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """`df` with a gapless number from 0 within `group` (columns without nulls).
 
-    A group of any size is dealt out over salted buckets by the hash of `order`; rows are
-    numbered inside their bucket and shifted by the size of the buckets before.  `df` is read
+    A group of any size is dealt out over SALTS buckets by the hash of `order`; rows are
+    numbered inside their bucket and shifted by the size of the buckets before.  So a number depends
+    on the data alone, up to rows that tie in `order`: these may take each other's.  `df` is read
     twice, so callers stage it.
     """
-    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
     before = Window.partitionBy(*group).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         salted.groupBy(*group, "_salt")

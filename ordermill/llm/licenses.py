@@ -53,7 +53,9 @@ TEMPLATES = {
     ],
 }
 for _name, _texts in TEMPLATES.items():
-    _texts.append(resources.files(__package__).joinpath("licence_texts", f"{_name}.txt").read_text("utf-8"))
+    _whole = resources.files(__package__).joinpath("licence_texts", f"{_name}.txt")
+    if _whole.is_file():  # no copy of CC BY-NC 4.0 is at hand: it is known by its notices alone
+        _texts.append(_whole.read_text("utf-8"))
 
 _V = r"(?: v| version)? ?v?"
 _BY = r"(?: as published by the free software foundation)?(?: either)?"

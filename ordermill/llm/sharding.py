@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ordermill.llm.common import numbered, stage
 
 CLASS_BITS = 11  # significant bits that a size keeps in its class: sizes of a class differ by under 0.1 %
+LARGE = 1000  # a group is large, and scheduled by its exact size, from this part of a shard's mean load
 
 
 def size_class(size: Column) -> Column:
@@ -67,14 +68,17 @@ def _water_level(loads: list[float], volume: float) -> float:
 def shard_groups(rows: DataFrame, group: str, size: str, shards: int) -> DataFrame:
     """(group, shard) for every value of `group`, which holds no nulls.
 
-    Groups are folded into size classes of 11 significant bits.  The driver sees one row per class,
-    some 80,000 at the very most whatever the input, and schedules classes by their mean size; a
-    group that is alone in its class counts exactly.  Inside a class groups are ranked by salted
-    numbers, so a class with most of all groups makes no large task.
+    Groups of a thousandth of a shard's mean load or more, LARGE * `shards` at most, are scheduled by
+    their exact sizes.  Smaller ones come after them, in classes of 11 significant bits by the mean
+    size of the class, so that none moves a load by more than a thousandth.  The driver sees one row
+    per class, some 80,000 and the large ones at the very most whatever the input.  Inside a class
+    groups are ranked by salted numbers, so a class with most of all groups makes no large task.
     """
     spark = rows.sparkSession
-    groups = rows.groupBy(group).agg(F.sum(size).cast("long").alias("_size"))
-    groups = stage(groups.withColumn("_class", size_class(F.col("_size"))), "shard-groups")
+    groups = stage(rows.groupBy(group).agg(F.sum(size).cast("long").alias("_size")), "shard-groups")
+    large = (groups.agg(F.sum("_size")).first()[0] or 0) / (LARGE * shards)
+    exact = F.col("_size") >= F.greatest(F.lit(large), F.lit(1.0))
+    groups = groups.withColumn("_class", F.when(exact, F.col("_size")).otherwise(size_class(F.col("_size"))))
     totals = groups.groupBy("_class").agg(F.count(F.lit(1)).alias("groups"), F.sum("_size").alias("total"))
     runs = longest_first([(r["_class"], r["groups"], r["total"]) for r in totals.collect()], shards)
     dealt = spark.createDataFrame(runs, "_class long, _first long, _end long, shard int")

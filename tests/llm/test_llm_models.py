@@ -51,6 +51,56 @@ def test_language_without_labels(spark, tongues):
     assert language.keep_languages(blind).count() == 0
 
 
+def test_very_many_languages_and_a_hot_id(spark):
+    """Five thousand labels, one id with a third of the rows: the sample keeps to its bound."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = [(i, f"{word()} {word()}", f"l{i % 5000}") for i in range(6000)]
+    hot, same = [i for i in range(100) if not brute.held_out(i)][:2]
+    rows += [(hot, f"{word()} {word()}", "l1") for _ in range(3000)] + [(same, "same text", "l2")] * 3000
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    chosen = language._training_rows(frame, 400, "doc_id", "text", "lang").collect()
+    counts = Counter(r.lang for r in chosen)
+    assert len(counts) <= language.MOST_LANGUAGES and max(counts.values()) <= 60 and len(chosen) == len(set(chosen))
+    model = language.train(frame, sample=400, landmarks=40)
+    assert len(model.languages) <= language.MOST_LANGUAGES and "l1" in model.languages
+    got = language.identify(frame, sample=400, landmarks=40)
+    assert got.count() == len(rows) and {r[0] for r in got.select("lang_pred").distinct().collect()} <= set(model.languages)
+
+
+def test_short_texts_of_a_learned_language_stay(spark, tongues):
+    frame, rows = tongues
+    short = spark.createDataFrame([(5000 + n, r[1].split()[0][:2], None, None) for n, r in enumerate(rows) if r[2] and (r[1] or '').split()], frame.schema)
+    lettered = short.where(language.has_letter(F.col("text")))
+    kept = language.keep_languages(frame.union(lettered)).where("doc_id >= 5000")
+    assert kept.count() == lettered.count() > 100
+    assert language.keep_languages(frame.union(spark.createDataFrame([(9999, "漢字仮名", None, None)], frame.schema))).where("doc_id = 9999").count() == 0
+
+
+def test_kernel_ridge_by_its_plain_form(spark, tongues):
+    """The whole operator on few rows against kernel matrices of n-gram sets, all rows as landmarks."""
+    frame, rows = tongues
+    few = frame.where("doc_id < 80")
+    got = {r.doc_id: r for r in language.identify(few, sample=100_000, landmarks=100_000, ridge=1e-3).collect()}
+    learned = {(r.doc_id, r.text, r.lang) for r in few.collect() if r.lang and r.doc_id is not None and not brute.held_out(r.doc_id)}
+    learned = [r for r in learned if any(c.isalpha() for c in r[1] or "")]
+    held = np.stack([language.presence(t) for _, t, _ in learned]).astype(float)
+    held /= np.sqrt(held.sum(axis=1, keepdims=True))
+    names = sorted({lang for *_, lang in learned})
+    y = np.array([[float(lang == n) for n in names] for *_, lang in learned])
+    weight = (len(learned) / len(names) / y.sum(axis=0) * y).sum(axis=1)
+    kernel = held @ held.T
+    # weighted kernel ridge regression: alpha = (K + ridge * n * W^-1)^-1 y
+    alpha = np.linalg.solve(kernel + 1e-3 * len(learned) * np.diag(1 / weight), y)
+    for doc_id, text, _, _ in [r for r in rows if r[0] is not None and r[0] < 80]:
+        if got[doc_id].lang_pred != "und":
+            x = language.presence(text).astype(float)
+            outputs = (x / np.sqrt(max(x.sum(), 1))) @ held.T @ alpha
+            assert got[doc_id].score == pytest.approx(min(max(outputs.max(), 0), 1), abs=2e-3)
+            best = np.sort(outputs)
+            assert got[doc_id].lang_pred == names[outputs.argmax()] or best[-1] - best[-2] < 1e-3
+
+
 def test_presence_follows_whole_letters():
     same = language.presence("Été, 12 été!! ###")
     assert (same == language.presence("été été")).all() and not (same == language.presence("ete")).all()

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 
 from llm_fixtures import make_docs, odd_pairs  # noqa: F401
+from ordermill.llm.packing import pack_documents
 from ordermill.llm.sharding import longest_first, shard_documents
 
 
@@ -66,3 +67,33 @@ def test_sizes_are_near_equal_beside_a_hot_group(make_docs):
     for r in rows:
         loads[r.shard] += r.size
     assert max(loads.values()) - min(loads.values()) <= 5
+
+
+@pytest.mark.parametrize("operator", [shard_documents, pack_documents])
+def test_results_do_not_depend_on_the_number_of_partitions(spark, make_docs, odd_pairs, operator):
+    docs = make_docs([p for p in odd_pairs if p[0] is not None and p[0] != 9])  # rows that tie may swap
+    found, default = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("3", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            found.append(sorted(map(str, operator(docs).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", default)
+    assert found[0] == found[1]
+
+
+def test_large_groups_go_by_their_exact_sizes(make_docs):
+    """Sizes that share a class of leading bits, dealt as the heap deals them one by one."""
+    rng = random.Random(6)
+    docs = [(i, "x" * (100_000 + rng.randint(0, 60))) for i in range(40)]
+    placed = shard_documents(make_docs(docs), 3).collect()
+    loads, of_text = [(0, s) for s in range(3)], defaultdict(int)
+    for _, text in docs:
+        of_text[text] += len(text) + 1
+    for size in sorted(of_text.values(), reverse=True):
+        load, shard = heapq.heappop(loads)
+        heapq.heappush(loads, (load + size, shard))
+    got = defaultdict(int)
+    for r in placed:
+        got[r.shard] += r.size
+    assert sorted(got.values()) == sorted(load for load, _ in loads)
