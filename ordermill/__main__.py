@@ -37,23 +37,25 @@ ANALYSES = {
 }
 
 
+def _read(spark, path, splittable):
+    if path.rstrip("/").endswith(".parquet"):
+        return readers.read_parquet(spark, path)
+    return readers.read_csv(spark, path, multi_line=False) if splittable else readers.read_records(spark, path)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ordermill", description=__doc__)
     parser.add_argument("analysis", choices=ANALYSES)
     parser.add_argument("input", help="order table: CSV with a header line, or *.parquet")
     parser.add_argument("output")
     parser.add_argument("--flat", action="store_true", help="one file, written by one task, instead of a folder")
-    parser.add_argument("--splittable", action="store_true", help="no CSV field holds a line end: read each file in parallel")
+    parser.add_argument("--splittable", action="store_true", help="no CSV field holds a line end, which spares the search for them")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"ordermill {args.analysis}").getOrCreate()
-    if args.input.rstrip("/").endswith(".parquet"):
-        raw = readers.read_parquet(spark, args.input)
-    else:
-        raw = readers.read_csv(spark, args.input, multi_line=not args.splittable)
     analysis, file_format = ANALYSES[args.analysis]
     with staging(spark):
-        result = analysis(raw)
+        result = analysis(_read(spark, args.input, args.splittable))
         result, counts = result if isinstance(result, tuple) else (result, None)
         if args.flat:
             writers.write_flat_file(result, args.output, file_format)

@@ -33,6 +33,15 @@ sales_order AS (
       '') AS promotion_ids
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 
+TYPED_ORDERS = """SELECT row_id,
+  strftime(make_date(2000 + year(order_date) % 100, month(order_date), day(order_date)), '%Y-%m-%d') AS order_date,
+  upper(city) AS city, upper(state) AS state, amount,
+  CASE row_id % 4 WHEN 1 THEN promotion_ids || ',"Q"' WHEN 3 THEN '  L1' || chr(10) || 'L2, ' || promotion_ids
+    ELSE promotion_ids END AS promotion_ids,
+  CAST(CASE WHEN promotion_ids IS NULL THEN 0 ELSE len(string_split(promotion_ids, ',')) + row_id % 2 END AS INTEGER)
+    AS n_promos
+FROM sales_order"""
+
 STATES = """
 dirty_state AS (
   SELECT c_custkey AS row_id, c_mktsegment AS city,
@@ -205,17 +214,8 @@ def _with(tables: str, select: str) -> str:
 
 # a two-digit year means 20yy, and day 31 of February its last day
 ORACLES: dict[str, str] = {
-    "orders_from_csv": _with(
-        SALES_ORDER,
-        """SELECT row_id,
-  strftime(make_date(2000 + year(order_date) % 100, month(order_date), day(order_date)), '%Y-%m-%d') AS order_date,
-  upper(city) AS city, upper(state) AS state, amount,
-  CASE row_id % 4 WHEN 1 THEN promotion_ids || ',"Q"' WHEN 3 THEN '  L1' || chr(10) || 'L2, ' || promotion_ids
-    ELSE promotion_ids END AS promotion_ids,
-  CAST(CASE WHEN promotion_ids IS NULL THEN 0 ELSE len(string_split(promotion_ids, ',')) + row_id % 2 END AS INTEGER)
-    AS n_promos
-FROM sales_order""",
-    ),
+    "orders_from_csv": _with(SALES_ORDER, TYPED_ORDERS),
+    "orders_from_records": _with(SALES_ORDER, TYPED_ORDERS),
     "orders_from_lines": _with(
         SALES_LINE,
         """SELECT CASE WHEN qty <> 13 THEN upper(state) END AS state,

@@ -42,15 +42,24 @@ def _rounded_average(df: DataFrame) -> DataFrame:
 # --- sources ---------------------------------------------------------------------------------
 
 
-def orders_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+def _from_csv(spark: SparkSession, folder: str, read: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     path = new_folder(spark, "csv")
     writers.write_csv(star.raw_sales_order(spark, folder), path)
-    typed = orders.promo_orders(readers.read_csv(spark, path))
+    typed = orders.promo_orders(read(spark, path))
     n_promos = promo_count(F.col("promotion_ids")).alias("n_promos")
     columns = ["row_id", "order_date", "city", "state", "amount", "promotion_ids", n_promos]
     return _dates_as_strings(typed.select(*columns), "order_date")
 
 
+def orders_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    return _from_csv(spark, folder, readers.read_csv)
+
+
+def orders_from_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The same orders, with line ends inside their lists of codes, by several tasks per file."""
+    return _from_csv(spark, folder, readers.read_records)
+
+
 def orders_from_lines(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "lines")
     star.order_lines(spark, folder).write.text(path)
@@ -345,6 +354,7 @@ def stream_open_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "orders_from_csv": orders_from_csv,
+    "orders_from_records": orders_from_records,
     "orders_from_lines": orders_from_lines,
     "line_fates": line_fates,
     "clean_states": clean_states,

@@ -2,28 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.text import trim_control
 from ordermill.functions.values import parse_date_clamped
 from ordermill.schema import ORDER_COLUMNS
+from ordermill.session import stage
 from ordermill.sources.writers import replace_folder
 
 
+QUOTES = {"quote": '"', "escape": '"'}
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header line, every column a string, columns taken by header name.
 
     Quoted fields may hold commas, doubled quotes and, with ``multi_line``, line ends.  Spark
     cannot split a multi-line file, so one task reads one file: keep such input in many files,
-    or pass ``multi_line=False`` when no field holds a line end, and land it as Parquet once.
-    Of several files all have to bear the same header: one that differs fails the read.
+    or use `read_records`, or pass ``multi_line=False`` when no field holds a line end.  Of several files all have to bear the same header: one that differs fails the read.
     """
     reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"')
     # with a given schema, unless it is enforced, Spark compares the header of every file with it
     return reader.options(enforceSchema=False).schema(reader.csv(path).schema).csv(path)
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """`read_csv` with line ends inside fields, by as many tasks as the files have blocks.
+
+    A line end lies inside a field if an odd number of quotes comes before it in its file.  Every block
+    of a file counts the quotes of its lines by themselves; the parities of the blocks, a row each, are
+    added up over the file, and tell for each block how to read its counts.  Lines that are records are
+    parsed as they are; only the parts of records with line ends are brought together.  A quote that
+    is never closed makes one record of the rest of its file, here as in `read_csv`.
+    """
+    names = spark.read.options(header=True, multiLine=True, **QUOTES).csv(path).schema.names
+    text = spark.read.option("lineSep", "\n").text(path)
+    place = [F.col(f"_metadata.{column}").alias(name) for name, column in (("file", "file_path"), ("block", "file_block_start"))]
+    odd = F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2))
+    lines = text.select("value", *place, F.monotonically_increasing_id().alias("at"), odd.alias("odd"))
+
+    block = Window.partitionBy("file", "block").orderBy("at")
+    upto = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = F.coalesce(F.sum("odd").over(block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = lines.withColumn("inside", F.pmod(inside, F.lit(2)))
+    # where the record of a line starts, if its block begins outside (0) and inside (1) of a field
+    starts = {f"start{p}": F.max(F.when(F.col("inside") == p, F.col("at"))).over(upto) for p in (0, 1)}
+    lines = stage(lines.withColumns(starts), "lines")
+
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"), F.max("start0").alias("last0"), F.max("start1").alias("last1"))
+    blocks = blocks.withColumn("open", F.pmod(F.coalesce(F.sum("odd").over(before), F.lit(0)), F.lit(2)))
+    last = F.when(F.col("open") == 0, F.col("last0")).otherwise(F.col("last1"))
+    blocks = blocks.withColumn("last", last).withColumn("earlier", F.max("last").over(before))
+    first = Window.partitionBy("file").orderBy("block")
+    blocks = stage(blocks.select("file", "block", "open", "earlier", (F.row_number().over(first) == 1).alias("leads")), "blocks")
+
+    start = F.coalesce(F.when(F.col("open") == 0, F.col("start0")).otherwise(F.col("start1")), F.col("earlier"))
+    placed = lines.join(blocks, ["file", "block"]).withColumn("start", start)
+    alone = (F.pmod(F.col("inside") + F.col("open"), F.lit(2)) == 0) & (F.col("odd") == 0)
+    whole = placed.where(alone).select("file", "at", "value")
+    parts = placed.where(~alone).groupBy("file", F.col("start").alias("at")).agg(F.collect_list(F.struct("at", "value")).alias("parts"))
+    joined = F.concat_ws("\n", F.transform(F.sort_array("parts"), lambda part: part["value"]))
+    records = whole.unionByName(parts.select("file", "at", joined.alias("value")))
+
+    # like `read_csv`: in a file whose lines end in CR LF, so do the line ends inside its fields
+    by_line = F.when(F.col("crlf"), F.replace("value", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("value"))
+    text_of = F.regexp_replace(by_line, "^\ufeff|\r$", "")
+    ends = F.min_by(F.col("value").endswith("\r"), "at").alias("crlf")
+    heads = stage(placed.where("leads").groupBy("file").agg(F.min("at").alias("head"), ends), "heads")
+    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
+    row = F.from_csv(text_of, schema, {**QUOTES, "multiLine": "true"})
+    parsed = records.where(~F.col("value").isin("", "\r")).join(heads, "file").select("at", "head", F.inline(F.array(F.struct(row.alias("row")))))
+    header = F.struct(*[F.lit(name).alias(name) for name in names])
+    wrong = F.raise_error(F.lit("CSV files with different headers"))
+    is_head = F.col("at") == F.col("head")
+    kept = F.when(~is_head, True).when(F.to_json("row") != F.to_json(header), wrong.cast("boolean")).otherwise(False)
+    return parsed.where(kept).select("row.*")
+
+
 def split_line(line: Column) -> Column:
     """A struct of the order columns parsed from one CSV line; a short line leaves nulls."""
     columns = ", ".join(f"`{name}` string" for name in ORDER_COLUMNS)

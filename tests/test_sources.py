@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +209,44 @@ def test_lines_left_out_are_landed_with_place_and_reason(spark, tmp_path):
     assert plain.count() == kept.count() + sum(reason == "date" for _, reason, _ in found)
     (tmp_path / "none.csv").write_text("")
     assert [f.count() for f in readers.land_lines(spark, str(tmp_path / "none.csv"), str(tmp_path / "landed"))] == [0, 0]
+
+
+def enclosed(value, rng):
+    return '"' + value.replace('"', '""') + '"' if any(c in value for c in ',"\n\r') or rng.random() < 0.2 else value
+
+
+@pytest.fixture
+def small_blocks(spark):
+    sizes = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1"}
+    default = {name: spark.conf.get(name) for name in sizes}
+    for name, value in sizes.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in default.items():
+        spark.conf.set(name, value)
+
+
+def test_records_with_line_ends_are_read_block_by_block(spark, tmp_path, small_blocks):
+    """Files of some twenty blocks each, with line ends and quotes in many fields, some records over several blocks."""
+    rng = random.Random(1)
+    parts = ["a", "b", ",", '"', "\n", "\r\n", " ", "é", "\n\n"]
+    for n, end in enumerate(["\n", "\r\n", "\n"]):
+        rows_ = [[str(n * 1000 + i), *("".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 3, 20]))) for _ in range(3))] for i in range(120)]
+        rows_[60][2] = "line\n" * 300
+        body = end.join(["id,a,b c,d`", *(",".join(enclosed(v, rng) for v in r) for r in rows_)]) + (end * n)
+        (tmp_path / f"{n}.csv").write_bytes(body.encode())
+    expected = readers.read_csv(spark, str(tmp_path))
+    got = readers.read_records(spark, str(tmp_path))
+    assert got.columns == expected.columns == ["id", "a", "b c", "d`"]
+    plain = lambda df: sorted(map(tuple, df.collect()))
+    assert plain(got.fillna("")) == plain(expected.fillna("")) and got.count() == 360
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 40
+
+
+def test_records_of_odd_files(spark, tmp_path):
+    for name, body in {"head": "x,y\n", "blank": "x,y\n\n1,2\n\n\n", "bom": "\ufeffx,y\r\n3,\"a\r\nb\"\r\n"}.items():
+        (tmp_path / f"{name}.csv").write_text(body, newline="")
+    assert rows(readers.read_records(spark, str(tmp_path))) == [("1", "2"), ("3", "a\nb")]
+    (tmp_path / "other.csv").write_text("y,x\n1,2\n")
+    with pytest.raises(Exception, match="different headers"):
+        readers.read_records(spark, str(tmp_path)).collect()
