@@ -18,6 +18,8 @@ from ordermill.session import stage
 
 PROBABILITIES = (0.90, 0.80)
 ACCURACY = 10_000
+# of the sketches that travel with the bins: their memory, and most of their time, is in proportion to it
+SKETCH_ACCURACY = 2_000
 TOLERANCE = 0.0001
 
 GROUP = ["sku", "month"]
@@ -89,7 +91,7 @@ def _quantiles(sketch: Column, probabilities: Sequence[float]) -> list[Column]:
     return [found[i].cast("int") for i in range(len(probabilities))]
 
 
-def promo_sketches(prepared: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+def promo_sketches(prepared: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """A quantile sketch of n_promos and the number of orders per (sku, month), a column to be stored.
 
     Stored sketches of further orders of the same groups are merged like those of further groups.
@@ -100,7 +102,7 @@ def promo_sketches(prepared: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
 
 
 def sketched_thresholds(
-    sketches: DataFrame, keys: Sequence[Column | str], probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
+    sketches: DataFrame, keys: Sequence[Column | str], probabilities: Sequence[float] = PROBABILITIES, accuracy: int = SKETCH_ACCURACY
 ) -> DataFrame:
     """Approximate percentiles per ``keys`` of stored sketches, merged: the orders are not read again."""
     merged = sketches.groupBy(*keys).agg(
@@ -111,7 +113,7 @@ def sketched_thresholds(
 
 
 def with_sketched_thresholds(
-    bins: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
+    bins: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = SKETCH_ACCURACY
 ) -> DataFrame:
     """Add the approximate percentiles of the bins' merged sketches, by the windows that the exact ones use."""
     merged = bins.withColumn("_merged", _merged("sketch", accuracy).over(Window.partitionBy(*GROUP)))
@@ -239,7 +241,7 @@ def stddev_above(bins: DataFrame, cuts: Sequence[str]) -> DataFrame:
 
 
 def approx_percentiles(
-    prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
+    prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = SKETCH_ACCURACY
 ) -> DataFrame:
     """Approximate thresholds, number of orders and standard deviations per (sku, month)."""
     bins = with_sketched_thresholds(promo_bins(prepared, accuracy), probabilities, accuracy)
@@ -276,7 +278,7 @@ def compare(approx: DataFrame, exact: DataFrame, probabilities: Sequence[float]
 
 
 def compared_percentiles(
-    prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = ACCURACY
+    prepared: DataFrame, probabilities: Sequence[float] = PROBABILITIES, accuracy: int = SKETCH_ACCURACY
 ) -> DataFrame:
     """The same as `compare` of both methods, from one set of bins that carries all thresholds.
 

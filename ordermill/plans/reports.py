@@ -115,7 +115,7 @@ def cancelled_share(
 def promo_percentiles(
     prepared: DataFrame,
     probabilities: Sequence[float] = percentiles.PROBABILITIES,
-    accuracy: int = percentiles.ACCURACY,
+    accuracy: int = percentiles.SKETCH_ACCURACY,
 ) -> DataFrame:
     """Approximate and exact thresholds and deviations per (sku, month), with their differences,
     in the order of sku and month.

@@ -323,16 +323,18 @@ def stddev_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_sliding_window(spark: SparkSession, folder: str) -> DataFrame:
-    """The events arrive in four parts, in the order of time; the stream stops and resumes in between."""
+    """The events arrive in two halves, in the order of time; the stream stops and resumes in between."""
     events = star.table(spark, folder, "events")
     volume = stage(star.event_orders(events).groupBy("state").agg(F.count("*").alias("n_orders")), "volume")
     lengths = stage(windows.window_lengths(volume, windows.mean_volume(volume)), "lengths")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     first, last = (x or 0 for x in events.agg(F.min(micros), F.max(micros)).first())
-    part = F.least(F.floor((micros - F.lit(first)) / F.lit(max(last - first, 1)) * 4), F.lit(3))
+    half = F.coalesce((micros - F.lit(first) > F.lit((last - first) / 2)).cast("int"), F.lit(0))
     source, path, checkpoint = (new_folder(spark, name) for name in ("events", "closed-windows", "stream"))
-    for n in range(4):
-        events.where(F.coalesce(part, F.lit(0)) == n).write.mode("append").parquet(f"{source}/events.parquet")
+    landing = new_folder(spark, "landing")
+    events.withColumn("half", half).write.partitionBy("half").parquet(landing)
+    for n in range(2):
+        writers.move_folder(spark, f"{landing}/half={n}", f"{source}/events.parquet{'-later' * n}")
         totals = streaming.window_totals(streaming.read_orders(spark, source), lengths)
         streaming.write_closed_windows(totals, path, checkpoint, available_now=True).awaitTermination()
     return _dates_as_strings(spark.read.schema(totals.schema).parquet(path), "window_date")

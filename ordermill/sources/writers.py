@@ -55,6 +55,15 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None])
     files.delete(old, True)
 
 
+def move_folder(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder to a target that is not there, as a whole; nothing to move is no error."""
+    (files, source), (_, place) = hadoop_path(spark, path), hadoop_path(spark, target)
+    if files.exists(source):
+        files.mkdirs(place.getParent())
+        if files.exists(place) or not files.rename(source, place):
+            raise OSError(f"cannot move {path} to {target}")
+
+
 def restore(spark: SparkSession, path: str) -> None:
     """Undo a replacement of `path` that stopped between its two renames; else clean up after it, if need be."""
     files, target = hadoop_path(spark, path.rstrip("/"))
