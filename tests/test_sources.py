@@ -250,3 +250,13 @@ def test_records_of_odd_files(spark, tmp_path):
     (tmp_path / "other.csv").write_text("y,x\n1,2\n")
     with pytest.raises(Exception, match="different headers"):
         readers.read_records(spark, str(tmp_path)).collect()
+
+
+def test_a_folder_is_moved_whole(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a"))
+    writers.move_folder(spark, str(tmp_path / "a"), str(tmp_path / "deep" / "b"))
+    assert spark.read.parquet(str(tmp_path / "deep" / "b")).count() == 3 and not (tmp_path / "a").exists()
+    writers.move_folder(spark, str(tmp_path / "a"), str(tmp_path / "c"))  # nothing to move
+    spark.range(3).write.parquet(str(tmp_path / "a"))
+    with pytest.raises(OSError, match="cannot move"):
+        writers.move_folder(spark, str(tmp_path / "a"), str(tmp_path / "deep" / "b"))
