@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import let, unused
+from ordermill.llm.common import let, stage, unused
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -166,7 +166,11 @@ def judge_quality(
 
 
 def keep_good(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows of `docs` that `judge_quality` keeps, with the columns they came with."""
-    whole, verdict = unused("_row", docs), F.col("kept")
+    """The rows of `docs` that `judge_quality` keeps, with the columns they came with.
+
+    The verdicts are staged: a filter on them would be pushed into the projection and repeat its work.
+    """
+    whole = unused("_row", docs)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole), F.col(f"`{text}`").alias("_body"))
-    return judge_quality(packed, doc_id=whole, text="_body", **options).where(verdict).select("doc_id.*")
+    judged = stage(judge_quality(packed, doc_id=whole, text="_body", **options).select("doc_id", "kept"), "quality-verdicts")
+    return judged.where("kept").select("doc_id.*")
