@@ -321,6 +321,24 @@ def test_vectors(spark, seed, chunk):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got) and sum(links.values()) > 1000
 
 
+def pairs_of(shown, blocks, plan):
+    return {(i, j) for a, b in embeddings.colliding(shown, blocks, plan) for i, j in zip(a.tolist(), b.tolist())}
+
+
+@pytest.mark.parametrize("counters", [1 << 20, 100])
+def test_collisions_of_windows(counters, monkeypatch):
+    """The counts of sorted windows are those of every pair compared, block by block, in tiles of any size."""
+    monkeypatch.setattr(embeddings, "COUNTERS", counters)
+    rng, plan = np.random.default_rng(5), embeddings.calibrated(0.98, 1000, 0.99)
+    blocks = np.repeat([3, 9, 4, 7], [40, 1, 90, 2])
+    shown = embeddings.shown_of(np.repeat(rng.standard_normal((7, 8)), 19, axis=0) / 3 + 0.05 * rng.standard_normal((133, 8)))
+    shown[5:9] = (32767, -32768, 32767, -32768) * 4
+    steps = math.ceil(plan.window / embeddings.STEP) + 1
+    hits = (np.abs(shown[:, None].astype(int) - shown[None].astype(int)) <= steps).sum(axis=2)
+    a, b = np.nonzero((hits >= plan.least) & (blocks[:, None] == blocks[None]))
+    assert pairs_of(shown, blocks, plan) == {(i, j) for i, j in zip(a.tolist(), b.tolist()) if i < j} != set()
+
+
 def test_a_pair_outside_one_window_alone_is_found():
     rng, plan = np.random.default_rng(8), embeddings.calibrated(0.98, 1000, 0.99)
     axes = embeddings._directions(24, embeddings.COUNTED, 1)
@@ -335,12 +353,29 @@ def test_a_pair_outside_one_window_alone_is_found():
         raise AssertionError("no such pair")
     others = unit(rng.standard_normal((60_000, 24)))
     first = others @ axes[:, 0] - a @ axes[:, 0]
-    others = others[(first > 0) & (first < gap[0] - plan.window)][: 2 * embeddings.TILE]
-    assert len(others) > embeddings.TILE
-    units = np.concatenate([[a, b], others])
-    cells, mine = np.zeros((len(units), 1), dtype=np.int64), np.zeros(len(units))
-    i, j = embeddings._links_in(units, cells, 0, mine, False, plan)
-    assert {0, 1} in [set(p) for p in zip(i.tolist(), j.tolist())]
+    others = others[(first > 0) & (first < gap[0] - plan.window)][:600]
+    assert len(others) == 600
+    shown = embeddings.shown_of(np.concatenate([[a, b], others]))
+    assert (0, 1) in pairs_of(shown, np.zeros(len(shown), dtype=int), plan)
+
+
+def test_recall_right_at_the_threshold(spark):
+    """Four thousand pairs at cosine 0.98 to 0.981, none closer, among unrelated vectors: brute force tells the links."""
+    rng, dim, n = np.random.default_rng(11), 64, 4000
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    first = unit(rng.standard_normal((n, dim)))
+    aside = rng.standard_normal((n, dim))
+    aside = unit(aside - (aside * first).sum(axis=1, keepdims=True) * first)
+    c = rng.uniform(0.98, 0.981, (n, 1))
+    vectors = np.concatenate([first, c * first + np.sqrt(1 - c * c) * aside, unit(rng.standard_normal((1000, dim)))])
+    exact = unit(vectors.astype(np.float32).astype(float))
+    a, b = np.nonzero(np.triu(exact @ exact.T >= 0.98, 1))
+    true = {(i, j) for i, j in zip(a.tolist(), b.tolist())}
+    rows = [(i, [float(x) for x in v], 0, None, None) for i, v in enumerate(vectors.astype(np.float32))]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, VECTORS)).where("not kept").collect()
+    found = {(r.component_id, r.vec_id) for r in got}
+    assert found <= true and len(true) > 3900
+    assert len(found) >= 0.99 * len(true), len(found) / len(true)
 
 
 def test_vectors_of_an_empty_table(spark):
