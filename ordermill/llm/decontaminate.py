@@ -10,7 +10,7 @@ from ordermill.llm.common import ascii_lower, merged_spans, stage, text_id
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # once A-Z are lower case
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # as written
 SHINGLE = 3
-BLOCK = 100_000  # windows that one pass over the documents looks up, about 10 MB
+SENT = 100_000  # windows up to which look-ups are broadcast, about 10 MB; beyond, both sides are shuffled
 
 
 def words_of(text: Column) -> Column:
@@ -58,16 +58,25 @@ def shingle_places(docs: DataFrame, length: int, window: int) -> DataFrame:
     ).where("pos is not null")
 
 
-def _occurrences(docs: DataFrame, own: DataFrame, length: int, window: int) -> DataFrame:
-    """Occurrences of a bounded block of windows whose shingles have `length` words."""
-    places = shingle_places(docs, length, window)
-    shingles = stage(window_shingles(own, length), "leak-shingles")
-    held = places.select("shingle").join(F.broadcast(shingles.select("shingle").distinct()), "shingle", "left_semi")
-    counts = stage(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("uses")), "leak-counts")
-    # containment needs all shingles, so one is a sufficient prefix: the rarest in the corpus
+def _prefixes(places: DataFrame, windows: DataFrame, length: int, few: bool) -> DataFrame:
+    """The rarest shingle in the corpus of each window that has all of its there: words, n, shingle, offset.
+
+    Containment needs all shingles, so one is a sufficient prefix.
+    """
+    shingles = stage(window_shingles(windows, length), "leak-shingles")
+    wanted, uses = shingles.select("shingle").distinct(), F.count(F.lit(1)).alias("uses")
+    if few:
+        counts = places.join(F.broadcast(wanted), "shingle", "left_semi").groupBy("shingle").agg(uses)
+    else:  # counted before the join, so that no frequent shingle moves as often as it stands in the texts
+        counts = places.groupBy("shingle").agg(uses).join(wanted, "shingle", "left_semi")
+    counts = stage(counts, "leak-counts")
     rarest = F.min(F.struct("uses", "shingle", "offset"))
     prefix = shingles.join(counts, "shingle", "left").na.fill(0, ["uses"]).groupBy("words", "n").agg(rarest.alias("p"))
-    prefix = stage(prefix.where("p.uses > 0").select("words", "n", "p.shingle", "p.offset"), "leak-prefix")
+    return stage(prefix.where("p.uses > 0").select("words", "n", "p.shingle", "p.offset"), "leak-prefix")
+
+
+def _met_on_the_way(places: DataFrame, prefix: DataFrame) -> DataFrame:
+    """Occurrences by a broadcast of few prefixes: place, look-up and check are one pass over the texts."""
     start = F.col("pos") - F.col("offset")
     first = F.col("lead") - F.col("offset") + 1
     fits = (F.col("lead") >= F.col("offset")) & (F.size("near") >= first - 1 + F.col("n"))
@@ -76,12 +85,24 @@ def _occurrences(docs: DataFrame, own: DataFrame, length: int, window: int) -> D
     return found.select("_id", "_text", start.alias("start"), (start + F.col("n")).alias("end"), "words")
 
 
+def _met_by_shuffle(docs: DataFrame, places: DataFrame, prefix: DataFrame) -> DataFrame:
+    """The same by a plain join: shingles move without words, and only places of candidates return to their text."""
+    start = (F.col("pos") - F.col("offset")).alias("start")
+    hits = places.select("_id", "_text", "pos", "shingle").join(prefix, "shingle")
+    hits = hits.select(F.col("_id").alias("_h_id"), F.col("_text").alias("_h_text"), start, "n", "words").where("start >= 0")
+    hits = stage(hits.distinct(), "leak-candidates")
+    held = docs.select("_id", text_id(F.col("_body")).alias("_text"), words_of(F.col("_body")).alias("_words"))
+    of_text = held["_id"].eqNullSafe(hits["_h_id"]) & (held["_text"] == hits["_h_text"])
+    found = held.join(hits, of_text).where(F.slice("_words", F.col("start") + 1, F.col("n")) == F.col("words"))
+    return found.select("_id", "_text", "start", (F.col("start") + F.col("n")).alias("end"), "words")
+
+
 def occurrences(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
     """Every occurrence of a window in a document: _id, _text, start, end, words.
 
-    Windows are looked up in blocks of at most BLOCK, each broadcast: item tables of any size keep
-    that bound and cost more scans of the documents.  Windows of fewer words than a shingle are
-    shingles of their own length.
+    Two passes over the documents count shingles and meet the prefixes, whatever the number of windows;
+    up to SENT windows their look-ups are broadcast, more are joined by a shuffle.  Windows of fewer
+    words than a shingle are shingles of their own length, with passes of their own.
     """
     length = F.least("n", F.lit(SHINGLE)).alias("length")
     distinct = stage(windows.select("words", "n", length).distinct(), "leak-distinct")
@@ -89,11 +110,10 @@ def occurrences(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
     schema = f"_id {id_type}, _text long, start int, end int, words array<string>"
     found = docs.sparkSession.createDataFrame([], schema)
     for r in sorted(distinct.groupBy("length").count().collect()):  # SHINGLE rows at most
-        blocks = -(-r["count"] // BLOCK)
-        for block in range(blocks):
-            mine = F.pmod(F.xxhash64("words"), F.lit(blocks)) == block
-            own = distinct.where((F.col("length") == r["length"]) & mine).select("words", "n")
-            found = found.unionByName(_occurrences(docs, own, r["length"], window))
+        few = r["count"] <= SENT
+        places = shingle_places(docs, r["length"], window)
+        prefix = _prefixes(places, distinct.where(F.col("length") == r["length"]).select("words", "n"), r["length"], few)
+        found = found.unionByName(_met_on_the_way(places, prefix) if few else _met_by_shuffle(docs, places, prefix))
     return found
 
 

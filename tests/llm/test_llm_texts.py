@@ -49,10 +49,10 @@ def test_contamination(spark, make_docs, leaky, window):
     assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(clean)
 
 
-def test_windows_in_blocks(spark, make_docs, leaky, monkeypatch):
+def test_windows_beyond_a_broadcast(spark, make_docs, leaky, monkeypatch):
     docs, items = leaky
     frame = spark.createDataFrame([(i, t, "x") for i, t in items], ITEMS)
-    monkeypatch.setattr("ordermill.llm.decontaminate.BLOCK", 20)
+    monkeypatch.setattr("ordermill.llm.decontaminate.SENT", 0)
     got = mark_contaminated(make_docs(docs), frame, 10)
     assert Counter(tuple(r)[:6] for r in got.collect()) == Counter(brute.contaminated(docs, items, 10))
 
